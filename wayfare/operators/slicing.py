@@ -71,7 +71,7 @@ def ordered_window(keys: Sequence[str], order: Sequence[By]) -> WindowSpec:
 
 
 def _numeric(column: Column, kind: T.DataType) -> Column | None:
-    """``column`` as a number in the same order, if it has one."""
+    """``column`` as a number, equal and ordered as the column is, if it has one."""
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
@@ -82,13 +82,18 @@ def _numeric(column: Column, kind: T.DataType) -> Column | None:
         return column.cast("int")
     if isinstance(kind, T.LongType):
         return column
-    if isinstance(kind, T.NumericType):
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
         return column.cast("double")
+    if isinstance(kind, T.DecimalType) and kind.precision < 18:
+        return (column * F.lit(10**kind.scale)).cast("bigint")
     return None
 
 
 def _hot_groups(df: DataFrame, groups: Sequence[str], limits: Limits) -> list[Row]:
-    """The largest groups with too many rows for one task: few, by the limit."""
+    """The largest groups with too many rows for one task: few, by the limit.
+
+    The collected rows are keys and counts.
+    """
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"))
     return (
         counts.where(F.col("rows") > limits.rows_per_slice)
@@ -133,16 +138,24 @@ def _cut_points(
 
 
 def _slice_number(value: Column, blocks: Column, width: int) -> Column:
-    """1 + the number of cut points below ``value``; 0 for null.
+    """The slice of a value: even where all rows of the slice have one value.
+
+    Rows of groups that are not hot get -1 and nulls 0. Between the cut points
+    lie the odd numbers from 1; rows equal to a cut point have an even number
+    of their own, so a value that fills a slice alone can be told.
 
     The cut points come in blocks of ``width``: first the block is found by
     its last point, then the place in it, so a row looks at about
     ``2 * sqrt(points)`` of them.
     """
     whole = F.size(F.filter(blocks, lambda block: F.element_at(block, -1) < value))
-    inside = F.size(F.filter(F.get(blocks, whole), lambda cut: cut < value))
-    number = F.lit(1) + whole * F.lit(width) + F.greatest(inside, F.lit(0))
-    return F.when(value.isNull() | blocks.isNull(), F.lit(0)).otherwise(number)
+    block = F.get(blocks, whole)
+    inside = F.greatest(F.size(F.filter(block, lambda cut: cut < value)), F.lit(0))
+    on_cut = F.coalesce(F.get(block, inside) == value, F.lit(False))
+    number = (whole * F.lit(width) + inside) * 2 + F.when(on_cut, 2).otherwise(1)
+    return (
+        F.when(blocks.isNull(), F.lit(-1)).when(value.isNull(), F.lit(0)).otherwise(number)
+    )
 
 
 def cut_into_slices(
@@ -154,6 +167,7 @@ def cut_into_slices(
     are added where no group is hot. Slices of a group are in the order of
     ``order``, and rows with equal sort values share a slice. If one value of
     a sort column is itself hot, its rows are cut again by the next column.
+    Sort columns that are not numbers or times end the cutting.
     """
     slices: list[By] = []
     for by in order:
@@ -161,13 +175,15 @@ def cut_into_slices(
         if value is None:
             break
         groups = [*keys, *[part.column for part in slices]]
-        hot = _hot_groups(df, groups, limits)
+        # Only rows equal in the columns before may be cut by this one.
+        equal_so_far = df.where(F.col(slices[-1].column) % 2 == 0) if slices else df
+        hot = _hot_groups(equal_so_far, groups, limits)
         if not hot:
             break
-        cuts = [(key, points) for key, points in _cut_points(df, groups, hot, value, limits) if points]
+        found = _cut_points(equal_so_far, groups, hot, value, limits)
+        cuts = [(key, points) for key, points in found if points]
         if not cuts:
-            # Nothing but nulls, or a single value: the next column decides.
-            continue
+            break
         width = max(1, math.isqrt(max(len(points) for _, points in cuts)))
         blocked = [
             (*key, [points[i : i + width] for i in range(0, len(points), width)])
