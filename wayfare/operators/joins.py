@@ -62,30 +62,38 @@ def rollup_by_dimension(
     group: str,
     measure: str | None = None,
     how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Count (and measure) facts per ``group`` of the dimension they point to.
 
-    The facts are combined per key before the join, so a hot key is one row
-    when it meets the dimension, and the join moves keys instead of facts. A
-    left join keeps facts with an unknown key under a null group.
+    A dimension below ``broadcast_bytes`` is sent to the facts, which are then
+    combined per group where they are read. With a larger one the facts are
+    combined per key first, so that a hot key is one row when it meets the
+    dimension and the join moves keys instead of facts. A left join keeps facts
+    with an unknown key under a null group.
 
     Returns ``group, n`` and, with a measure, ``low, high, total, measured``.
     """
-    partial: list[Column] = [F.count(F.lit(1)).alias("n")]
-    final: list[Column] = [F.sum("n").alias("n")]
+    names = dimension.select(dimension_key, group)
+    counted: list[Column] = [F.count(F.lit(1)).alias("n")]
+    summed: list[Column] = [F.sum("n").alias("n")]
     if measure is not None:
-        partial += [
+        counted += [
             F.min(measure).alias("low"),
             F.max(measure).alias("high"),
             F.sum(measure).alias("total"),
             F.count(measure).alias("measured"),
         ]
-        final += [
+        summed += [
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.sum("total").alias("total"),
             F.sum("measured").alias("measured"),
         ]
-    per_key = facts.groupBy(fact_key).agg(*partial)
-    names = dimension.select(dimension_key, group)
-    return join_keys(per_key, names, fact_key, dimension_key, how).groupBy(group).agg(*final)
+    if planned_bytes(names) <= broadcast_bytes:
+        joined = facts.join(F.broadcast(names), facts[fact_key] == names[dimension_key], how)
+        return joined.groupBy(group).agg(*counted)
+    per_key = facts.groupBy(fact_key).agg(*counted)
+    return per_key.join(names, per_key[fact_key] == names[dimension_key], how).groupBy(
+        group
+    ).agg(*summed)

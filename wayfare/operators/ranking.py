@@ -51,7 +51,11 @@ def with_rank(
 
 
 def nth_distinct(
-    df: DataFrame, partition: Sequence[str], by: By, n: int
+    df: DataFrame,
+    partition: Sequence[str],
+    by: By,
+    n: int,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """The rows of each partition that hold its n-th distinct value.
 
@@ -67,4 +71,8 @@ def nth_distinct(
         .where(F.col("rank__") == n)
         .drop("rank__")
     )
-    return join_back(df, chosen, [*partition, by.column])
+    if not needs_slicing(df, limits):
+        return join_back(df, chosen, [*partition, by.column])
+    # Written, its true size is known and the rows need not be shuffled to it.
+    chosen = written(chosen, "values")
+    return join_back(df, chosen, [*partition, by.column], size_of=chosen)

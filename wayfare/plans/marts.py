@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.clock import hour_of_text, hour_text
 from wayfare.functions.text import is_upper_case
-from wayfare.operators.joins import rollup_by_dimension
+from wayfare.operators.joins import BROADCAST_BYTES, rollup_by_dimension
 
 
 def borough_popularity(
@@ -20,9 +20,12 @@ def borough_popularity(
     trip_zone: str = "PULocationID",
     zone_id: str = "LocationID",
     borough: str = "Borough",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Trips per borough, most popular first. Trips with an unknown zone are left out."""
-    counts = rollup_by_dimension(trips, zones, trip_zone, zone_id, borough)
+    counts = rollup_by_dimension(
+        trips, zones, trip_zone, zone_id, borough, broadcast_bytes=broadcast_bytes
+    )
     return counts.select(borough, F.col("n").alias("total_trips")).orderBy(
         F.desc("total_trips"), borough
     )
@@ -36,13 +39,16 @@ def distance_by_borough(
     borough: str = "Borough",
     distance: str = "trip_distance",
     how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Trips per borough with least, mean (2 places) and greatest distance.
 
     ``how="left"`` keeps trips with an unknown zone under a null borough.
     Trips without a distance count as trips only.
     """
-    rolled = rollup_by_dimension(trips, zones, trip_zone, zone_id, borough, distance, how)
+    rolled = rollup_by_dimension(
+        trips, zones, trip_zone, zone_id, borough, distance, how, broadcast_bytes
+    )
     return rolled.select(
         borough,
         F.col("n").alias("total_trips"),

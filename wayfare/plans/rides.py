@@ -24,6 +24,10 @@ from wayfare.operators.slicing import DEFAULT_LIMITS, By, Limits, with_positions
 
 ALARM_AFTER = "2 hours"
 
+RIDE_FIELDS = """ride_id is_start start_time end_time start_lon start_lat end_lon end_lat
+    passenger_cnt taxi_id driver_id""".split()
+FARE_FIELDS = "ride_id taxi_id driver_id start_time payment_type tip tolls total_fare".split()
+
 
 def with_event_time(rides: DataFrame) -> DataFrame:
     return rides.withColumn(
@@ -92,15 +96,20 @@ def rides_with_fares(
     records as one text.
     """
     left = start_events(rides).select(
-        "ride_id", F.window(ride_time, size).alias("window"), ride_text().alias("ride")
+        "ride_id",
+        F.window(ride_time, size).alias("window"),
+        F.struct(*RIDE_FIELDS).alias("ride"),
     )
     right = fares.select(
-        "ride_id", F.window(fare_time, size).alias("window"), fare_text().alias("fare")
+        "ride_id",
+        F.window(fare_time, size).alias("window"),
+        F.struct(*FARE_FIELDS).alias("fare"),
     )
+    # The texts are longer than the records: they are made after the shuffle.
     return left.join(right, ["ride_id", "window"]).select(
         "ride_id",
         F.col("window.end").alias("window_end"),
-        F.concat_ws(",", "ride", "fare").alias("pair"),
+        F.concat_ws(",", ride_text("ride."), fare_text("fare.")).alias("pair"),
     )
 
 
@@ -113,20 +122,26 @@ def long_rides(rides: DataFrame, after: str = ALARM_AFTER) -> DataFrame:
     event are combined before the shuffle.
     """
     events = with_event_time(rides)
-    fields = [name for name in rides.columns if name != "ride_id"]
+    started_at = F.when(F.col("is_start"), F.col("event_time"))
     timely_end = ~F.col("is_start") & (F.col("end_time") >= F.col("start_time"))
+    # Field by field, as a hash aggregate holds numbers but no structs. STARTs
+    # of one ride are equal but for copies at another time.
+    details = [
+        F.min_by(name, started_at).alias(name) for name in rides.columns if name != "ride_id"
+    ]
     per_ride = events.groupBy("ride_id").agg(
-        F.min(F.when(F.col("is_start"), F.struct("event_time", *fields))).alias("first"),
-        F.min(F.when(timely_end, F.col("event_time"))).alias("first_end"),
+        F.min(started_at).alias("started__"),
+        F.min(F.when(timely_end, F.col("event_time"))).alias("ended__"),
+        *details,
     )
-    deadline = F.col("first.event_time") + F.expr(f"INTERVAL {after}")
+    deadline = F.col("started__") + F.expr(f"INTERVAL {after}")
     now = events.agg(F.max("event_time"))
     late = per_ride.where(
-        F.col("first").isNotNull()
-        & (F.col("first_end").isNull() | (F.col("first_end") > deadline))
+        F.col("started__").isNotNull()
+        & (F.col("ended__").isNull() | (F.col("ended__") > deadline))
         & (deadline <= now.scalar())
     )
-    return late.select("ride_id", "first.*").select(*rides.columns)
+    return late.select(*rides.columns)
 
 
 def event_log(

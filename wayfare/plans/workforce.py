@@ -34,10 +34,14 @@ def salary_rank_sql(spark: SparkSession, view: str = "employee") -> DataFrame:
 
 
 def nth_salary(
-    employees: DataFrame, n: int = 2, department: str = "department", salary: str = "salary"
+    employees: DataFrame,
+    n: int = 2,
+    department: str = "department",
+    salary: str = "salary",
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Employees who earn the n-th highest distinct salary of their department."""
-    return nth_distinct(employees, [department], By(salary, desc=True), n)
+    return nth_distinct(employees, [department], By(salary, desc=True), n, limits)
 
 
 def titles(

@@ -244,11 +244,19 @@ SELECT CAST(o_custkey AS VARCHAR) AS metric,
 FROM orders GROUP BY o_custkey
 """
 
+POPULARITY = """
+SELECT c_mktsegment, count(*) AS total_trips
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+"""
+
+SECOND = f"""
+SELECT employee, department, salary FROM ({RANKED.format(kind="dense_rank")}) WHERE rank = 2
+"""
+
 ORACLE: dict[str, str] = {
-    "borough_popularity": """
-        SELECT c_mktsegment, count(*) AS total_trips
-        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
-    """,
+    "borough_popularity": POPULARITY,
+    "borough_popularity_large_zones": POPULARITY,
+    "distance_by_borough_large_zones": DISTANCE_BY_SEGMENT.format(kind="LEFT"),
     "distance_by_borough": DISTANCE_BY_SEGMENT.format(kind="INNER"),
     "distance_by_borough_left": """
         SELECT quality, count(*) AS total_trips, min(n_chars) AS min_distance,
@@ -299,10 +307,8 @@ ORACLE: dict[str, str] = {
     """,
     "rank_salary": RANKED.format(kind="rank"),
     "rank_salary_sliced": RANKED.format(kind="rank"),
-    "second_highest": f"""
-        SELECT employee, department, salary FROM ({RANKED.format(kind="dense_rank")})
-        WHERE rank = 2
-    """,
+    "second_highest": SECOND,
+    "second_highest_sliced": SECOND,
     "join_on_same_name": """
         SELECT l_orderkey AS order_key, l_linenumber, l_extendedprice, o_custkey, o_totalprice
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey

@@ -86,6 +86,23 @@ def borough_popularity(spark, folder):
     )
 
 
+@query
+def borough_popularity_large_zones(spark, folder):
+    # As with zones too many to send to every task.
+    return marts.borough_popularity(
+        _orders(spark, folder), read(spark, folder, "customer"),
+        "o_custkey", "c_custkey", "c_mktsegment", broadcast_bytes=0,
+    )
+
+
+@query
+def distance_by_borough_large_zones(spark, folder):
+    return marts.distance_by_borough(
+        _orders(spark, folder), read(spark, folder, "customer"),
+        "o_custkey", "c_custkey", "c_mktsegment", "o_totalprice", "left", 0,
+    )
+
+
 @query
 def distance_by_borough(spark, folder):
     return marts.distance_by_borough(
@@ -238,6 +255,11 @@ def second_highest(spark, folder):
     return workforce.nth_salary(_employees(spark, folder), 2)
 
 
+@query
+def second_highest_sliced(spark, folder):
+    return workforce.nth_salary(_employees(spark, folder), 2, limits=SLICED)
+
+
 @query
 def join_on_same_name(spark, folder):
     orders = _orders(spark, folder).select(
