@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-
 TRIP = """
     VendorID int, tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp,
     passenger_count int, trip_distance double, RatecodeID int, store_and_fwd_flag string,
@@ -43,9 +42,34 @@ PERSON_TITLE = "last_name string, title string"
 USER_DEVICES = "name string, devices array<struct<id: int, model: string>>"
 
 
+# Each may become any of those after it without failing.
+_WIDENING = ["tinyint", "smallint", "int", "bigint", "float", "double"]
+
+
+def _widens(have: str, want: str) -> bool:
+    if have == want or want == "string":
+        return True
+    if have in _WIDENING and want in _WIDENING:
+        return _WIDENING.index(have) < _WIDENING.index(want)
+    return (have, want) == ("date", "timestamp")
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
-    """The typed view of ``df``: columns by name, safe widening only.
+    """The typed view of ``df``: columns by name, widening only.
 
-    A cast that could lose data, or a missing column, is an error.
+    A missing column is an error, and so is a cast that could lose data.
     """
-    return df.to(T.StructType.fromDDL(schema))
+    wanted = T.StructType.fromDDL(schema)
+    have = dict(df.dtypes)
+    missing = [name for name in wanted.names if name not in have]
+    if missing:
+        raise TypeError(f"no column {', '.join(missing)}")
+    narrowed = [
+        f"{field.name} ({have[field.name]} to {field.dataType.simpleString()})"
+        for field in wanted
+        if isinstance(field.dataType, T.AtomicType)
+        and not _widens(have[field.name], field.dataType.simpleString())
+    ]
+    if narrowed:
+        raise TypeError(f"cannot widen {', '.join(narrowed)}")
+    return df.to(wanted)
