@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.plans import marts
+from wayfare.schemas import ZONE
+from wayfare.session import scratch_path, shared_folder, written
+from wayfare.sinks import files as sink
+from wayfare.sinks import keyed
+from wayfare.sources import files, jdbc, topics
+from wayfare.sources.tables import rows, table
+
+ZONES = [(1, "EWR", "Airport", "EWR"), (4, "Manhattan", "Alphabet, City", "yeLLow"),
+         (7, "Queens", "Astoria", "BORO")]
+
+
+@pytest.fixture
+def zone_file(spark, folder):
+    lines = ['"LocationID","Borough","Zone","service_zone"']
+    lines += [f'{n},"{b}","{z}","{s}"' for n, b, z, s in ZONES]
+    path = f"{folder}/zones.csv"
+    with open(path, "w") as out:
+        out.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_csv_readers(spark, zone_file):
+    typed = files.csv(spark, zone_file)
+    assert [tuple(r) for r in typed.collect()] == ZONES
+    assert files.csv_inferred(spark, zone_file).dtypes == typed.dtypes
+    as_text = files.csv_strings(spark, zone_file)
+    assert {kind for _, kind in as_text.dtypes} == {"string"}
+    assert as_text.first()["LocationID"] == "1"
+
+
+def test_declared_schema_needs_no_pass_over_the_file(spark, zone_file):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    files.csv(spark, zone_file)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_raw_lines_keep_quotes_and_split_at_every_comma(spark, zone_file):
+    names = ["LocationID", "Borough", "Zone", "service_zone"]
+    lines = files.text_fields(spark, zone_file, names)
+    counts = {r["Borough"]: r["count"] for r in marts.zones_per_borough(lines).collect()}
+    # The header goes, as its words are lower case; a comma in a name shifts fields.
+    assert counts == {'"EWR"': 1, '"Queens"': 1}
+
+
+def test_file_sinks(spark, folder):
+    df = rows(spark, ZONES, ZONE)
+    sink.parquet(df.repartition(4), f"{folder}/one", files=1)
+    sink.parquet(df, f"{folder}/one", files=1)
+    assert files.parquet(spark, f"{folder}/one", ZONE).count() == 3
+    sink.parquet(df, f"{folder}/parts", partition_by=("Borough",))
+    assert files.parquet(spark, f"{folder}/parts").where("Borough = 'EWR'").count() == 1
+    lines = df.select(F.col("Zone").alias("value"))
+    sink.text(lines, f"{folder}/text", files=1)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sink.text(lines, f"{folder}/text")
+    sink.managed_table(df, "zone_table")
+    assert table(spark, "zone_table").count() == 3
+    spark.sql("DROP TABLE zone_table")
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    first, second = (scratch_path(spark, "x") for _ in range(2))
+    assert first != second and first.startswith(shared_folder(spark))
+    assert written(spark.range(3).toDF("id"), "x").count() == 3
+
+
+def test_jdbc_settings(spark):
+    query = jdbc.subquery(jdbc.EMPLOYEE_TITLES)
+    assert query.startswith("(select") and query.endswith(") as result")
+    spark.conf.set("spark.wayfare.jdbc.url", "jdbc:none:here")
+    spark.conf.set("spark.wayfare.jdbc.user", "someone")
+    spark.conf.set("spark.wayfare.jdbc.password", "hidden")
+    found = jdbc.Connection.from_conf(spark)
+    assert found.properties == {"user": "someone", "password": "hidden"}
+    assert "hidden" not in repr(found)
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc.read(spark, found, query, jdbc.Ranges("emp_no", "1", "100", 4))
+    with pytest.raises(Exception, match="(?i)driver"):
+        sink.jdbc(spark.range(1), found, "t")
+
+
+def test_topic_settings(spark):
+    options = topics.topic_options("host:9092", "input", group="click-event-count", rows_per_batch=5)
+    assert options == {
+        "kafka.bootstrap.servers": "host:9092", "subscribe": "input", "startingOffsets": "latest",
+        "kafka.group.id": "click-event-count", "maxOffsetsPerTrigger": "5",
+    }
+    with pytest.raises(Exception, match="kafka"):
+        topics.topic(spark, "host:9092", "input")
+
+
+def test_store_writer_needs_its_connector(spark):
+    write = keyed.cassandra("public", "click", ["userId"], ["at"])
+    with pytest.raises(Exception, match="cassandra"):
+        write(spark.createDataFrame([(1, 2)], "userId int, at int"), 0)
