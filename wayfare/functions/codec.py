@@ -34,8 +34,10 @@ def decode_json(
     Unknown fields are ignored.
     """
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    record = F.from_json(message_text(value), schema, options).alias("record__")
-    return df.select(*keep, record).select(*keep, "record__.*")
+    record = F.from_json(message_text(value), schema, options)
+    # Through a generator, so that conditions on the fields stay above the
+    # decoding: pushed below it they would decode each message once more.
+    return df.select(*keep, F.inline_outer(F.array(record)))
 
 
 def split_json(
@@ -43,14 +45,10 @@ def split_json(
 ) -> tuple[DataFrame, DataFrame]:
     """Good records and dead letters (the unreadable texts, in ``value``)."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select(
-        message_text(value).alias("text__"),
-        F.from_json(message_text(value), f"{schema}, {CORRUPT} string", options).alias(
-            "record__"
-        ),
-    )
-    broken = F.col("text__").isNull() | F.col(f"record__.{CORRUPT}").isNotNull()
-    good = parsed.where(~broken).select("record__.*").drop(CORRUPT)
+    record = F.from_json(message_text(value), f"{schema}, {CORRUPT} string", options)
+    parsed = df.select(message_text(value).alias("text__"), F.inline_outer(F.array(record)))
+    broken = F.col("text__").isNull() | F.col(CORRUPT).isNotNull()
+    good = parsed.where(~broken).drop(CORRUPT, "text__")
     return good, parsed.where(broken).select(F.col("text__").alias("value"))
 
 

@@ -12,6 +12,7 @@ from wayfare.operators.slicing import (
     By,
     Limits,
     cut_into_slices,
+    in_hot_group,
     needs_slicing,
     ordered_window,
     same_keys,
@@ -44,7 +45,7 @@ def drop_repeats(
 
     # The first row of a slice is compared with the last value of the slice
     # before it: one row per slice, bounded by the limits.
-    last = df.groupBy(*groups).agg(
+    last = df.where(in_hot_group(slices)).groupBy(*groups).agg(
         F.max_by(F.struct(value), F.struct(*[_rising(by) for by in order])).alias("last__")
     )
     walk = ordered_window(keys, slices)

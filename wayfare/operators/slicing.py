@@ -105,8 +105,11 @@ def _hot_groups(df: DataFrame, groups: Sequence[str], limits: Limits) -> list[Ro
 
 def _cut_points(
     df: DataFrame, groups: Sequence[str], hot: list[Row], value: Column, limits: Limits
-) -> list[tuple]:
-    """Per hot group: its key values and its sorted cut points."""
+) -> tuple[list[tuple], bool]:
+    """Per hot group its key values and sorted cut points; whether a value repeats.
+
+    A value that comes twice among the quantiles fills a slice alone.
+    """
     spark = df.sparkSession
     rows = max(
         limits.rows_per_slice,
@@ -122,39 +125,44 @@ def _cut_points(
         few = keys.select([F.col(name).alias(f"hot_{name}") for name in groups])
         pairs = [(name, f"hot_{name}") for name in groups]
         values = values.join(F.broadcast(few), same_keys(values, few, pairs), "left_semi")
-        values = values.groupBy(*groups)
-        found = values.agg(quantiles).collect()
-    else:
-        found = values.agg(quantiles).collect()
     sizes = {tuple(row[g] for g in groups): row["rows"] for row in hot}
     result = []
-    for row in found:
+    repeats = False
+    for row in values.groupBy(*groups).agg(quantiles).collect():
         key = tuple(row[g] for g in groups)
-        cuts = sorted({x for x in (row["cuts"] or []) if x == x})
         wanted = max(2, math.ceil(sizes[key] / rows))
-        step = max(1, len(cuts) // wanted)
-        result.append((key, cuts[::step]))
-    return result
+        points = [x for x in (row["cuts"] or []) if x == x][:: max(1, finest // wanted)]
+        cuts = sorted(set(points))
+        repeats |= len(cuts) < len(points)
+        if cuts:
+            result.append((*key, cuts))
+    return result, repeats
 
 
-def _slice_number(value: Column, blocks: Column, width: int) -> Column:
-    """The slice of a value: even where all rows of the slice have one value.
+def _with_slice(df: DataFrame, name: str, value: Column, cuts: str, most: int) -> DataFrame:
+    """Add the slice of a value: even where all rows of the slice have one value.
 
     Rows of groups that are not hot get -1 and nulls 0. Between the cut points
     lie the odd numbers from 1; rows equal to a cut point have an even number
-    of their own, so a value that fills a slice alone can be told.
-
-    The cut points come in blocks of ``width``: first the block is found by
-    its last point, then the place in it, so a row looks at about
-    ``2 * sqrt(points)`` of them.
+    of their own, so a value that fills a slice alone can be told. ``most`` is
+    the greatest number of cut points; they are searched by halving.
     """
-    whole = F.size(F.filter(blocks, lambda block: F.element_at(block, -1) < value))
-    block = F.get(blocks, whole)
-    inside = F.greatest(F.size(F.filter(block, lambda cut: cut < value)), F.lit(0))
-    on_cut = F.coalesce(F.get(block, inside) == value, F.lit(False))
-    number = (whole * F.lit(width) + inside) * 2 + F.when(on_cut, 2).otherwise(1)
-    return (
-        F.when(blocks.isNull(), F.lit(-1)).when(value.isNull(), F.lit(0)).otherwise(number)
+    found = "below__"
+    df = df.withColumn("value__", value).withColumn(found, F.lit(0))
+    step = 1 << (most.bit_length() - 1)
+    while step:
+        point = F.get(cuts, F.col(found) + (step - 1))
+        df = df.withColumn(
+            found, F.when(point < F.col("value__"), F.col(found) + step).otherwise(F.col(found))
+        )
+        step >>= 1
+    on_cut = F.get(cuts, F.col(found)) == F.col("value__")
+    number = F.col(found) * 2 + F.when(on_cut, 2).otherwise(1)
+    return df.withColumn(
+        name,
+        F.when(F.col(cuts).isNull(), F.lit(-1))
+        .when(F.col("value__").isNull(), F.lit(0))
+        .otherwise(number),
     )
 
 
@@ -180,37 +188,35 @@ def cut_into_slices(
         hot = _hot_groups(equal_so_far, groups, limits)
         if not hot:
             break
-        found = _cut_points(equal_so_far, groups, hot, value, limits)
-        cuts = [(key, points) for key, points in found if points]
+        cuts, repeats = _cut_points(equal_so_far, groups, hot, value, limits)
         if not cuts:
             break
-        width = max(1, math.isqrt(max(len(points) for _, points in cuts)))
-        blocked = [
-            (*key, [points[i : i + width] for i in range(0, len(points), width)])
-            for key, points in cuts
-        ]
-        kind = "double" if isinstance(cuts[0][1][0], float) else "bigint"
+        kind = T.DoubleType() if isinstance(cuts[0][-1][0], float) else T.LongType()
+        schema = T.StructType(
+            [T.StructField(f"hot_{g}", df.schema[g].dataType) for g in groups]
+            + [T.StructField("cuts__", T.ArrayType(kind))]
+        )
         name = f"slice_{len(slices)}__"
         if groups:
-            schema = T.StructType(
-                [T.StructField(f"hot_{g}", df.schema[g].dataType) for g in groups]
-                + [T.StructField("blocks__", T.ArrayType(T.ArrayType(
-                    T.DoubleType() if kind == "double" else T.LongType())))]
-            )
-            table = df.sparkSession.createDataFrame(blocked, schema)
+            table = df.sparkSession.createDataFrame(cuts, schema)
             pairs = [(g, f"hot_{g}") for g in groups]
             joined = df.join(F.broadcast(table), same_keys(df, table, pairs), "left")
-            tagged = joined.withColumn(
-                name, _slice_number(value.cast(kind), F.col("blocks__"), width)
-            )
-            df = tagged.select(*df.columns, name)
         else:
-            literal = F.lit(blocked[0][-1]).cast(f"array<array<{kind}>>")
-            df = df.withColumn(name, _slice_number(value.cast(kind), literal, width))
+            joined = df.withColumn("cuts__", F.lit(cuts[0][-1]).cast(T.ArrayType(kind)))
+        most = max(len(row[-1]) for row in cuts)
+        tagged = _with_slice(joined, name, value.cast(kind), "cuts__", most)
+        df = tagged.select(*df.columns, name)
         slices.append(By(name, by.desc))
+        if not repeats:
+            break
     return df, slices
 
 
+def in_hot_group(slices: Sequence[By]) -> Column:
+    """Whether a row's group was cut; only there do slices hand numbers on."""
+    return F.col(slices[0].column) >= 0
+
+
 def with_positions(
     df: DataFrame,
     keys: Sequence[str],
@@ -238,7 +244,7 @@ def with_positions(
         )
     if not slices:
         return placed
-    totals = df.groupBy(*groups).agg(
+    totals = df.where(in_hot_group(slices)).groupBy(*groups).agg(
         F.count(F.lit(1)).alias("rows__"),
         F.sum(F.col(weight) if weight else F.lit(0)).alias("weight__"),
     )
