@@ -117,7 +117,10 @@ def _cut_points(
     )
     finest = max(2, math.ceil(max(row["rows"] for row in hot) / rows))
     shares = [i / finest for i in range(1, finest)]
-    quantiles = F.percentile_approx("value", shares, max(1000, 4 * finest)).alias("cuts")
+    quantiles = F.percentile_approx("value", shares, max(1000, 4 * finest))
+    # Smaller groups keep fewer of the points, in proportion to their rows.
+    wanted = F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) / rows)).cast("int")
+    every = F.greatest(F.lit(1), F.floor(F.lit(finest) / wanted)).cast("int")
     values = df.select(*groups, value.alias("value"))
     if groups:
         schema = T.StructType([df.schema[name] for name in groups])
@@ -125,17 +128,16 @@ def _cut_points(
         few = keys.select([F.col(name).alias(f"hot_{name}") for name in groups])
         pairs = [(name, f"hot_{name}") for name in groups]
         values = values.join(F.broadcast(few), same_keys(values, few, pairs), "left_semi")
-    sizes = {tuple(row[g] for g in groups): row["rows"] for row in hot}
+    found = values.groupBy(*groups).agg(quantiles.alias("cuts"), every.alias("every"))
+    thinned = F.filter("cuts", lambda _, i: i % F.col("every") == 0).alias("cuts")
     result = []
     repeats = False
-    for row in values.groupBy(*groups).agg(quantiles).collect():
-        key = tuple(row[g] for g in groups)
-        wanted = max(2, math.ceil(sizes[key] / rows))
-        points = [x for x in (row["cuts"] or []) if x == x][:: max(1, finest // wanted)]
+    for row in found.select(*groups, thinned).collect():
+        points = [x for x in (row["cuts"] or []) if x == x]
         cuts = sorted(set(points))
         repeats |= len(cuts) < len(points)
         if cuts:
-            result.append((*key, cuts))
+            result.append((*[row[g] for g in groups], cuts))
     return result, repeats
 
 
@@ -157,13 +159,14 @@ def _with_slice(df: DataFrame, name: str, value: Column, cuts: str, most: int) -
         )
         step >>= 1
     on_cut = F.get(cuts, F.col(found)) == F.col("value__")
-    number = F.col(found) * 2 + F.when(on_cut, 2).otherwise(1)
-    return df.withColumn(
-        name,
+    number = (
         F.when(F.col(cuts).isNull(), F.lit(-1))
         .when(F.col("value__").isNull(), F.lit(0))
-        .otherwise(number),
+        .otherwise(F.col(found) * 2 + F.when(on_cut, 2).otherwise(1))
     )
+    # Through a generator, so that conditions on the slice stay above the
+    # search: pushed below it they would repeat all its steps, each twice.
+    return df.select("*", F.explode_outer(F.array(number)).alias(name))
 
 
 def cut_into_slices(
