@@ -97,6 +97,14 @@ def test_unknown_rank(spark):
         with_rank(spark.range(1), [], By("id"), "ntile")
 
 
+def test_columns_may_have_any_name(spark):
+    df = spark.range(300).selectExpr("id % 2 AS value", "id % 50 AS rows", "id AS cuts")
+    order = [By("rows"), By("cuts")]
+    whole = with_positions(df, ["value"], order, "cuts", WHOLE)
+    cut = with_positions(df, ["value"], order, "cuts", CUT)
+    assert as_set(cut.select(whole.columns)) == as_set(whole)
+
+
 def test_nan_and_infinity_are_ranked(spark):
     numbers = [float(i) for i in range(60)] + [float("nan")] * 3 + [float("inf"), None]
     df = spark.createDataFrame([("a", x) for x in numbers], "k string, x double")

@@ -94,10 +94,10 @@ def _hot_groups(df: DataFrame, groups: Sequence[str], limits: Limits) -> list[Ro
 
     The collected rows are keys and counts.
     """
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"))
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows__"))
     return (
-        counts.where(F.col("rows") > limits.rows_per_slice)
-        .orderBy(F.desc("rows"))
+        counts.where(F.col("rows__") > limits.rows_per_slice)
+        .orderBy(F.desc("rows__"))
         .limit(limits.max_hot_groups)
         .collect()
     )
@@ -113,27 +113,27 @@ def _cut_points(
     spark = df.sparkSession
     rows = max(
         limits.rows_per_slice,
-        math.ceil(sum(row["rows"] for row in hot) / limits.max_slices),
+        math.ceil(sum(row["rows__"] for row in hot) / limits.max_slices),
     )
-    finest = max(2, math.ceil(max(row["rows"] for row in hot) / rows))
+    finest = max(2, math.ceil(max(row["rows__"] for row in hot) / rows))
     shares = [i / finest for i in range(1, finest)]
-    quantiles = F.percentile_approx("value", shares, max(1000, 4 * finest))
+    quantiles = F.percentile_approx("value__", shares, max(1000, 4 * finest))
     # Smaller groups keep fewer of the points, in proportion to their rows.
     wanted = F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) / rows)).cast("int")
     every = F.greatest(F.lit(1), F.floor(F.lit(finest) / wanted)).cast("int")
-    values = df.select(*groups, value.alias("value"))
+    values = df.select(*groups, value.alias("value__"))
     if groups:
         schema = T.StructType([df.schema[name] for name in groups])
         keys = spark.createDataFrame([tuple(row[g] for g in groups) for row in hot], schema)
         few = keys.select([F.col(name).alias(f"hot_{name}") for name in groups])
         pairs = [(name, f"hot_{name}") for name in groups]
         values = values.join(F.broadcast(few), same_keys(values, few, pairs), "left_semi")
-    found = values.groupBy(*groups).agg(quantiles.alias("cuts"), every.alias("every"))
-    thinned = F.filter("cuts", lambda _, i: i % F.col("every") == 0).alias("cuts")
+    found = values.groupBy(*groups).agg(quantiles.alias("cuts__"), every.alias("every__"))
+    thinned = F.filter("cuts__", lambda _, i: i % F.col("every__") == 0).alias("cuts__")
     result = []
     repeats = False
     for row in found.select(*groups, thinned).collect():
-        points = [x for x in (row["cuts"] or []) if x == x]
+        points = [x for x in (row["cuts__"] or []) if x == x]
         cuts = sorted(set(points))
         repeats |= len(cuts) < len(points)
         if cuts:
