@@ -66,7 +66,7 @@ def main() -> None:
     spark = build_session(
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": os.environ.get("CHECK_PARTITIONS", "8"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

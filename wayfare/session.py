@@ -60,6 +60,17 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def state_partitions(spark: SparkSession) -> dict[str, str]:
+    """Settings that keep a stateful stream to four state stores per core.
+
+    Each store is opened and committed in every micro-batch, and their number
+    stays that of the first run. A lower setting of the session is kept.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = 4 * spark.sparkContext.defaultParallelism
+    return {"spark.sql.shuffle.partitions": str(min(wanted, most))}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 

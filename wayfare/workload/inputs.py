@@ -7,7 +7,7 @@ derives columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.clock import CONSUMER_CLOCK
@@ -75,9 +75,8 @@ def fares(events: DataFrame) -> DataFrame:
     )
 
 
-def click_messages(events: DataFrame) -> DataFrame:
-    """A JSON click per event as bytes, with the event's id beside it."""
-    body = F.to_json(
+def _click_body() -> Column:
+    return F.to_json(
         F.struct(
             F.date_format("ts", CONSUMER_CLOCK).alias("timestamp"),
             F.concat(F.lit("/"), "event_type").alias("page"),
@@ -85,7 +84,19 @@ def click_messages(events: DataFrame) -> DataFrame:
             F.floor("value").cast("bigint").alias("duration"),
         )
     )
-    return events.select("event_id", body.cast("binary").alias("value"))
+
+
+def click_messages(events: DataFrame) -> DataFrame:
+    """A JSON click per event as bytes, with the event's id beside it."""
+    return events.select("event_id", _click_body().cast("binary").alias("value"))
+
+
+def broken_click_messages(events: DataFrame) -> DataFrame:
+    """The same, but those of errors lack the closing brace."""
+    body = _click_body()
+    ending = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit("}"))
+    whole = F.concat(F.rtrim(body, F.lit("}")), ending)
+    return events.select(whole.cast("binary").alias("value"))
 
 
 def user_messages(events: DataFrame) -> DataFrame:

@@ -222,8 +222,7 @@ SELECT count(*) AS count, round(avg(d), 4) AS mean, round(stddev_samp(d), 4) AS
 FROM (
   SELECT CAST(110.25 AS DOUBLE) * sqrt(
       power(CAST(start_lat - end_lat AS DOUBLE), 2)
-      + power(CAST(start_lon - end_lon AS DOUBLE)
-              * cos(radians(CAST(end_lat AS DOUBLE))), 2)) AS d
+      + power(CAST(start_lon - end_lon AS DOUBLE) * cos({{angle}}), 2)) AS d
   FROM ({EVENT_RIDES}) e)
 """
 
@@ -232,12 +231,26 @@ SELECT CAST(floor(degree / CAST(30 AS DOUBLE)) * 30 AS INT) AS direction, count(
 FROM (
   SELECT CAST(trunc(degrees(atan2(
       CAST(end_lat - start_lat AS DOUBLE),
-      CAST(end_lon - start_lon AS DOUBLE) * cos(radians(CAST(start_lat AS DOUBLE)))))) AS INT)
+      CAST(end_lon - start_lon AS DOUBLE) * cos({{angle}})))) AS INT)
     + 179 AS degree
   FROM ({EVENT_RIDES}) e)
 GROUP BY 1
 """
 
+NEAREST = f"""
+WITH {RIDES},
+places AS (
+  SELECT ride_id, is_start, CASE WHEN is_start THEN start_lon ELSE end_lon END AS lon,
+         CASE WHEN is_start THEN start_lat ELSE end_lat END AS lat
+  FROM rides
+)
+SELECT ride_id, is_start, round(CAST(110.25 AS DOUBLE) * sqrt(
+    power(CAST(CAST(40.7484 AS FLOAT) - lat AS DOUBLE), 2)
+    + power(CAST(CAST(-73.9857 AS FLOAT) - lon AS DOUBLE)
+            * cos(radians(CAST(lat AS DOUBLE))), 2)), 6) AS distance
+FROM places ORDER BY distance, ride_id, is_start LIMIT 10
+"""
+
 SPEND = """
 SELECT CAST(o_custkey AS VARCHAR) AS metric,
        CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS value
@@ -309,7 +322,7 @@ ORACLE: dict[str, str] = {
     "rank_salary_sliced": RANKED.format(kind="rank"),
     "second_highest": SECOND,
     "second_highest_sliced": SECOND,
-    "join_on_same_name": """
+    "join_using": """
         SELECT l_orderkey AS order_key, l_linenumber, l_extendedprice, o_custkey, o_totalprice
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     """,
@@ -332,6 +345,16 @@ ORACLE: dict[str, str] = {
         WITH {CLICKS}
         SELECT event_id, "timestamp", page, "userId", duration, event_time FROM clicks
     """,
+    "clicks_readable": f"""
+        WITH {CLICKS}
+        SELECT "timestamp", page, "userId", duration FROM clicks WHERE page <> '/error'
+    """,
+    "clicks_dead_letters": f"""
+        WITH {CLICKS}
+        SELECT '{{"timestamp":"' || "timestamp" || '","page":"' || page || '","userId":'
+               || "userId" || ',"duration":' || duration AS value
+        FROM clicks WHERE page = '/error'
+    """,
     "clicks_nested_json": """
         SELECT CAST(user_id AS VARCHAR) AS name,
                CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS INT) END
@@ -386,8 +409,11 @@ ORACLE: dict[str, str] = {
     "busiest_pickup_cells": f"SELECT * FROM ({HEATMAP}) ORDER BY pickups DESC, cell LIMIT 10",
     "cell_centres": CELL_CENTRES,
     "route_cells": ROUTE_CELLS,
-    "trip_length_km": LENGTHS,
-    "direction_histogram": DIRECTIONS,
+    "trip_length_km": LENGTHS.format(angle="radians(CAST(end_lat AS DOUBLE))"),
+    "trip_length_km_compat": LENGTHS.format(angle="CAST(end_lat AS DOUBLE)"),
+    "nearest_to_point": NEAREST,
+    "direction_histogram": DIRECTIONS.format(angle="radians(CAST(start_lat AS DOUBLE))"),
+    "direction_histogram_compat": DIRECTIONS.format(angle="CAST(start_lon AS DOUBLE)"),
     "spend_by_account": SPEND,
     "mean_spend": f"SELECT avg(value) AS mean_value FROM ({SPEND})",
     "spend_report_upsert": """

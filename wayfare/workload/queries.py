@@ -8,15 +8,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.functions.codec import decode_transactions, split_json
 from wayfare.functions.text import register_strlen
+from wayfare.operators import joins
 from wayfare.operators.collections import records_from_pairs
-from wayfare.operators.joins import join_using
 from wayfare.operators.slicing import By, Limits
 from wayfare.plans import clicks as click_plans
 from wayfare.plans import marts, selection, spend, workforce
 from wayfare.plans import rides as ride_plans
-from wayfare.functions.codec import decode_transactions
-from wayfare.session import ROCKSDB_STATE, scratch_path, settings, written
+from wayfare.schemas import CLICK
+from wayfare.session import ROCKSDB_STATE, scratch_path, settings, state_partitions, written
 from wayfare.sinks.keyed import KeyedTable
 from wayfare.sinks.streams import ONCE, to_keyed_table, to_parquet
 from wayfare.sources import files
@@ -53,7 +54,8 @@ def ddl(df: DataFrame) -> str:
 def appended(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Run an append stream over what is there and read its output."""
     place = scratch_path(spark, "stream")
-    to_parquet(df, f"{place}/out", f"{place}/checkpoint", ONCE).awaitTermination()
+    with settings(spark, state_partitions(spark)):
+        to_parquet(df, f"{place}/out", f"{place}/checkpoint", ONCE).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{place}/out")
 
 
@@ -67,7 +69,8 @@ def upserted(
     """Run a stream into a keyed table and read the table."""
     place = scratch_path(spark, "stream")
     table = KeyedTable(f"{place}/table", ddl(df), keys, version)
-    to_keyed_table(df, table, f"{place}/checkpoint", mode, ONCE).awaitTermination()
+    with settings(spark, state_partitions(spark)):
+        to_keyed_table(df, table, f"{place}/checkpoint", mode, ONCE).awaitTermination()
     return table.current(spark)
 
 
@@ -261,14 +264,14 @@ def second_highest_sliced(spark, folder):
 
 
 @query
-def join_on_same_name(spark, folder):
+def join_using(spark, folder):
     orders = _orders(spark, folder).select(
         F.col("o_orderkey").alias("order_key"), "o_custkey", "o_totalprice"
     )
     lines = read(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_key"), "l_linenumber", "l_extendedprice"
     )
-    return join_using(lines, orders, "order_key")
+    return joins.join_using(lines, orders, "order_key")
 
 
 @query
@@ -343,6 +346,18 @@ def clicks_decoded_strict(spark, folder):
     return naive(_clicks(spark, folder), "event_time")
 
 
+@query
+def clicks_readable(spark, folder):
+    messages = inputs.broken_click_messages(read(spark, folder, "events"))
+    return split_json(messages, CLICK)[0]
+
+
+@query
+def clicks_dead_letters(spark, folder):
+    messages = inputs.broken_click_messages(read(spark, folder, "events"))
+    return split_json(messages, CLICK)[1]
+
+
 @query
 def clicks_nested_json(spark, folder):
     return click_plans.user_devices(inputs.user_messages(read(spark, folder, "events")))
@@ -541,20 +556,40 @@ def route_cells(spark, folder):
     return ride_plans.route_coverage(_rides(spark, folder))
 
 
-@query
-def trip_length_km(spark, folder):
-    lengths = ride_plans.trip_lengths(_rides(spark, folder))
-    found = marts.distribution(lengths)
+def _trip_lengths(spark: SparkSession, folder: str, compat: bool) -> DataFrame:
+    found = marts.distribution(ride_plans.trip_lengths(_rides(spark, folder), compat))
     return found.withColumns(
         {name: F.round(name, 4) for name in ("mean", "stddev", "min", "max")}
     )
 
 
+@query
+def trip_length_km(spark, folder):
+    return _trip_lengths(spark, folder, False)
+
+
+@query
+def trip_length_km_compat(spark, folder):
+    return _trip_lengths(spark, folder, True)
+
+
+@query
+def nearest_to_point(spark, folder):
+    events = ride_plans.distance_to_point(_rides(spark, folder), -73.9857, 40.7484)
+    near = events.select("ride_id", "is_start", F.round("distance", 6).alias("distance"))
+    return marts.top(near, 10, "distance", "ride_id", "is_start")
+
+
 @query
 def direction_histogram(spark, folder):
     return ride_plans.direction_histogram(_rides(spark, folder))
 
 
+@query
+def direction_histogram_compat(spark, folder):
+    return ride_plans.direction_histogram(_rides(spark, folder), compat=True)
+
+
 # --- account spending: orders -----------------------------------------------
 
 
