@@ -105,6 +105,19 @@ def test_long_ride_alarm(spark, folder, stateful):
         assert row[9:] == (2, row[1] + 100, row[1] + 200)
 
 
+@pytest.mark.parametrize(("stateful", "at_deadline"), [(False, []), (True, [1])])
+def test_watermark_at_the_deadline(spark, folder, stateful, at_deadline):
+    batches = [[ride(1, True, 0)], [ride(2, True, 2 * HOUR)]]
+    path = put(spark, folder, batches, RIDE)
+    form = alarms.long_rides_stateful if stateful else alarms.long_rides_stream
+    got, _ = run(form(files.ride_stream(spark, path, 1)), folder)
+    assert [row[1] for row in got] == at_deadline
+    put(spark, folder, [[ride(3, True, 2 * HOUR + 1)]], RIDE)
+    later, _ = run(form(files.ride_stream(spark, path, 1)), folder)
+    assert [row[1] for row in got + later] == [1]
+    assert [r["ride_id"] for r in ride_plans.long_rides(spark.read.schema(RIDE).parquet(path)).collect()] == [1]
+
+
 @pytest.mark.parametrize("stateful", [False, True])
 def test_no_alarm_before_the_deadline(spark, folder, stateful):
     batches = [[ride(1, True, 0)], [ride(2, True, 2 * HOUR - 60)]]

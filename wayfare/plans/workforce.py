@@ -21,14 +21,19 @@ def salary_rank(
 
 
 def salary_rank_sql(spark: SparkSession, view: str = "employee") -> DataFrame:
-    """Dense rank as a SQL window. Each department is sorted by one task: for
-    departments of a size that fits one task; ``salary_rank`` has no such bound."""
+    """Dense rank in SQL. The window runs over the distinct salaries only, and
+    the ranks are joined back; ``salary_rank`` also cuts departments with too
+    many distinct salaries."""
     return spark.sql(
         f"""
-        SELECT employee_name, department, salary,
-               CAST(dense_rank() OVER (PARTITION BY department ORDER BY salary DESC) AS BIGINT)
-                 AS rank
-        FROM {view}
+        WITH levels AS (
+          SELECT department, salary,
+                 CAST(dense_rank() OVER (PARTITION BY department ORDER BY salary DESC) AS BIGINT)
+                   AS rank
+          FROM (SELECT DISTINCT department, salary FROM {view})
+        )
+        SELECT employee_name, e.department, e.salary, rank
+        FROM {view} e JOIN levels l ON e.department <=> l.department AND e.salary <=> l.salary
         """
     )
 

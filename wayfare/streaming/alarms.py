@@ -1,7 +1,7 @@
 """Alarm for rides without an END within two hours, on a stream of ride events.
 
 Rule: alarm if there is no END with ``end <= start + 2 hours`` and the
-watermark has passed ``start + 2 hours``. Events may come in any order.
+watermark has reached ``start + 2 hours``. Events may come in any order.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ def long_rides_stream(
     """The STARTs to raise an alarm for, from built-in operators.
 
     A left outer join of STARTs with ENDs in time gives a START without END
-    once the watermark is past its deadline. One START per ride is expected.
+    once the watermark is past its deadline (not yet when it is at it). One
+    START per ride is expected.
     """
     events = timed_rides(rides, delay)
     # Both sides must see the watermark of all events, so the conditions read
