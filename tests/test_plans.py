@@ -4,11 +4,11 @@ import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from wayfare.plans import marts, selection
+from wayfare.plans import clicks, marts, rides, selection
+from wayfare.schemas import RIDE, ZONE
 from wayfare.sinks import files as sink
 from wayfare.sources import files
 from wayfare.sources.tables import rows, view
-from wayfare.schemas import ZONE
 
 
 @pytest.fixture
@@ -55,6 +55,29 @@ def test_cached_table_in_sql(spark, trips):
     spark.sql("UNCACHE TABLE trip_cache")
 
 
+def test_city_box_reaches_the_scan(spark, folder, plan):
+    sink.parquet(spark.createDataFrame([], RIDE), f"{folder}/rides")
+    text = plan(rides.rides_in_city(files.parquet(spark, f"{folder}/rides")))
+    for column in ("start_lon", "start_lat", "end_lon", "end_lat"):
+        assert f"IsNotNull({column})" in text
+    assert "cast(start_lon" not in text
+
+
+def test_messages_are_decoded_once(spark, folder, plan):
+    body = '{"timestamp":"01-01-1970 01:00:00:015","page":"/help","userId":1,"duration":100}'
+    sink.text(spark.createDataFrame([(body,)], "value string"), f"{folder}/clicks")
+    counts = clicks.page_counts(clicks.clicks(spark.read.text(f"{folder}/clicks")))
+    assert plan(counts).count("from_json") == 1
+    assert counts.first()["count"] == 1
+
+
+def test_long_rides_are_one_hash_aggregate(spark, folder, plan):
+    sink.parquet(spark.createDataFrame([], RIDE), f"{folder}/rides")
+    text = plan(rides.long_rides(files.parquet(spark, f"{folder}/rides")))
+    assert "SortAggregate" not in text and "Join" not in text
+    assert text.count("Exchange hashpartitioning(ride_id") == 1
+
+
 def test_layout_does_not_change_results(trips):
     want = sorted(map(tuple, trips.groupBy("VendorID").count().collect()))
     for laid_out in (trips.repartition(3), trips.coalesce(1), trips.repartition(4, "VendorID")):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wayfare.operators.ranking import nth_distinct, with_rank
 from wayfare.operators.slicing import DEFAULT_LIMITS, By, Limits

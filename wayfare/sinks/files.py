@@ -37,7 +37,8 @@ def jdbc(
 ) -> None:
     """A database table. Overwriting drops and makes it anew, unless told to
     keep its definition and only empty it. ``connections`` bounds how many
-    tasks write at once."""
+    tasks write at once, and with them the last stage of ``df``: for results of
+    an aggregate."""
     (
         df.coalesce(connections)
         .write.format("jdbc")
