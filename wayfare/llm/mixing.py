@@ -180,14 +180,16 @@ def _cut(ranked: DataFrame, cuts: DataFrame, number: int) -> DataFrame:
                     F.struct("mix__bin", (F.col("until") - F.col("words")).alias("before")),
                 )
             ).alias("at"),
-            F.max(F.struct("mix__bin", F.col("until").alias("before"))).alias("end"),
+            F.max("mix__bin").alias("last"),
+            F.sum("words").alias("mix__total"),
         )
         .selectExpr(
             "mix__for",
             "mix__left",
-            "coalesce(at.mix__bin, end.mix__bin) AS mix__edge",
+            "coalesce(at.mix__bin, last) AS mix__edge",
             "coalesce(at.before, 0) AS mix__before",
-            "at IS NULL AS mix__all",
+            # If all of them together lack something, all are taken.
+            "IF(at IS NULL, mix__total, NULL) AS mix__all",
         )
     )
     edges = written(edges, "mix-edges")
@@ -203,7 +205,7 @@ def _cut(ranked: DataFrame, cuts: DataFrame, number: int) -> DataFrame:
     steps = steps.withColumn("until", until)
     fits = "2 * until - words <= 2 * mix__left" if last else "until <= mix__left"
     at_edge = steps.groupBy("mix__for").agg(
-        F.max(F.when(F.expr(f"mix__all OR {fits}"), F.struct("mix__order", "mix__size", "until"))).alias("at"),
+        F.max(F.when(F.expr(f"mix__all IS NOT NULL OR {fits}"), F.struct("mix__order", "mix__size", "until"))).alias("at"),
         F.min(F.struct("mix__order", "mix__size")).alias("start"),
         F.first("mix__before").alias("before"),
         F.first("mix__all").alias("mix__all"),
@@ -213,7 +215,7 @@ def _cut(ranked: DataFrame, cuts: DataFrame, number: int) -> DataFrame:
         "mix__for",
         """IF(at IS NULL, struct(start.mix__order AS mix__order, CAST(-1 AS BIGINT) AS mix__size),
            struct(at.mix__order AS mix__order, at.mix__size AS mix__size)) AS cut""",
-        "coalesce(IF(mix__all, 0, at.until), before) AS used",
+        "coalesce(mix__all, at.until, before) AS used",
     )
     return (
         cuts.join(found, F.expr("mix__source <=> mix__for"), "left")
