@@ -5,10 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, mixing, quality, sharding, urls
+from wayfare.llm import bpe, chat, mixing, quality, sharding, simhash, urls
 from wayfare.llm.common import words
 from wayfare.session import written
 from wayfare.sources.files import parquet
@@ -58,6 +59,28 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole document encoded, and decoded from its ids again."""
+    ranks = bpe.Ranks.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_digest(bpe.little_endian(F.col("ids"), len(ranks.pieces))).alias("ids_sha256"),
+        hex_digest(bpe.decode(F.col("ids"), ranks)).alias("decoded_sha256"),
+    )
+
+
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every whole document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.withColumn("fingerprint", simhash.as_hex(F.col("fingerprint")))
+
+
 @query
 def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page judged by the rules, else by its host's reputation.
