@@ -61,6 +61,36 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled LEFT JOIN known USING (host)
 """
 
+# Earlier is by document, then line; document ids do not repeat in the tables.
+ORACLE["op6_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+    SELECT doc_id, k, list_filter(string_split_regex(translate(parts[k], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM split, unnest(range(1, len(parts) + 1)) AS t(k)),
+worded AS (SELECT *, array_to_string(w, ' ') AS form FROM lines WHERE len(w) > 0),
+placed AS (SELECT *, row_number() OVER (ORDER BY doc_id, k) AS at_row FROM worded),
+forms AS (SELECT form, min(at_row) AS rank, any_value(w) AS w FROM placed GROUP BY form),
+cut AS (
+    SELECT rank, len(w) AS n, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v
+    FROM forms, unnest(range(1, len(w) + 1)) AS t(p) WHERE len(w) >= 8),
+swapped AS (SELECT rank, min(rank) OVER (PARTITION BY p, n, v) AS earliest FROM cut),
+grown AS (
+    SELECT greatest(cut.rank, forms.rank) AS rank FROM cut JOIN forms ON v = form WHERE len(forms.w) >= 8),
+near AS (SELECT rank FROM swapped WHERE rank > earliest UNION SELECT rank FROM grown),
+fate AS (
+    SELECT doc_id, k, CASE WHEN near.rank IS NOT NULL THEN 'near' WHEN at_row > forms.rank THEN 'exact' END AS verdict
+    FROM placed JOIN forms USING (form) LEFT JOIN near ON near.rank = forms.rank),
+gone AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (verdict = 'exact') AS n_exact,
+        count(*) FILTER (verdict = 'near') AS n_near,
+        list(k) FILTER (verdict IS NOT NULL) AS dropped FROM fate GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+    sha256(array_to_string(list_transform(list_filter(range(1, len(parts) + 1),
+        lambda k: NOT list_contains(coalesce(dropped, []), k)), lambda k: parts[k]), chr(10))) AS kept_sha256
+FROM split LEFT JOIN gone USING (doc_id)
+"""
+
 # An independent template-free view: what is read back must be the turns themselves.
 ORACLE["op7_chat_formatting"] = r"""
 WITH turns AS (
@@ -173,3 +203,14 @@ ranked AS (
 {_PASSES}
 SELECT doc_id, size, source_size, target, CAST((c + took3::INT) * size AS BIGINT) AS taken FROM drawn3
 """
+
+ORACLE["op10_topk_search"] = r"""
+WITH codes AS (
+    SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
+    FROM embeddings WHERE embedding IS NOT NULL),
+ranked AS (
+    SELECT q.vec_id AS query, c.vec_id AS neighbour, hamming(q.code, c.code) AS distance,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY hamming(q.code, c.code), c.vec_id) AS rank
+    FROM codes q, codes c WHERE q.vec_id % 50 = 0)
+SELECT query, CAST(rank AS INT) AS rank, neighbour, CAST(distance AS INT) AS distance FROM ranked WHERE rank <= 10
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, chat, mixing, quality, sharding, simhash, urls
+from wayfare.llm import bpe, chat, hamming, lines, mixing, quality, sharding, simhash, urls
 from wayfare.llm.common import words
 from wayfare.session import written
 from wayfare.sources.files import parquet
@@ -95,6 +95,15 @@ def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines kept and dropped in every document, and a digest of what is left."""
+    found = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_lines", "n_exact", "n_near", hex_digest(F.col("kept_text")).alias("kept_sha256")
+    )
+
+
 @query
 def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and one with control strings, read back from the output."""
@@ -153,3 +162,12 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     columns = ("source", "size", "chance", "weight")
     mixed = mixing.apply_mix(docs, mixing.plan_mix(docs, *columns), *columns)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest sign codes for every vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", hamming.sign_code(F.col("embedding"), 64).alias("code")
+    )
+    return hamming.search(vectors, vectors.where("vec_id % 50 = 0"), "vec_id", "code", 10)
