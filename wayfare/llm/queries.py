@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, chat, hamming, lines, mixing, quality, sharding, simhash, urls
+from wayfare.llm import bpe, chat, hamming, lines, mixing, quality, secrets, sharding, simhash, urls
 from wayfare.llm.common import words
-from wayfare.session import written
+from wayfare.session import scratch_path, written
 from wayfare.sources.files import parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,23 @@ def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """All secrets of every whole document, from a ledger that starts empty."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(scratch_path(spark, "secret-ledger"))
+    ledger.scan(docs)
+    found = ledger.findings(docs)
+    kinds = [rule.kind for rule in secrets.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in kinds],
+        hex_digest(secrets.joined(base)).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines kept and dropped in every document, and a digest of what is left."""
