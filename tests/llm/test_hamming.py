@@ -1,0 +1,64 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.llm import hamming
+
+
+def slow(index, queries, k):
+    out = []
+    for q, code in queries:
+        if code is None:
+            continue
+        near = sorted(
+            (sum((a ^ b) .bit_count() if a ^ b >= 0 else ((a ^ b) % 2**64).bit_count() for a, b in zip(code, c)), i)
+            for i, c in index
+            if c is not None
+        )[:k]
+        out += [(q, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    return sorted(out)
+
+
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def codes(draw, n, words, spread):
+    centres = [[draw.getrandbits(64) for _ in range(words)] for _ in range(6)]
+    out = []
+    for _ in range(n):
+        code = list(draw.choice(centres))
+        for _ in range(draw.randint(0, spread)):
+            code[draw.randrange(words)] ^= 1 << draw.randrange(64)
+        out.append([signed(w) for w in code])
+    return out
+
+
+@pytest.mark.parametrize("words,bits,spread,k", [(1, 16, 3, 10), (1, 8, 12, 4), (2, 8, 10, 3), (1, 4, 40, 7)])
+def test_against_all_pairs(spark, words, bits, spread, k):
+    draw = random.Random(words * 100 + bits)
+    found = codes(draw, 300, words, spread)
+    index = [(i, c) for i, c in enumerate(found)] + [(400 + i, found[0]) for i in range(60)] + [(999, None)]
+    queries = index[::9] + [(999, None), (5, found[5])]
+    table = spark.createDataFrame(index, "id bigint, c array<bigint>").withColumn("distance", F.lit("mine"))
+    asked = spark.createDataFrame(queries, table.schema[:2]).withColumn("rank", F.lit(7))
+    got = hamming.search(table, asked, "id", "c", k, words, bits).collect()
+    assert sorted((r.query, r["rank"], r.neighbour, r.distance) for r in got) == slow(index, queries, k)
+
+
+def test_far_queries_and_few_rows(spark):
+    index = [(1, [0]), (2, [-1]), (2, [-1])]
+    table = spark.createDataFrame(index, "id bigint, c array<bigint>")
+    got = hamming.search(table, table.where("id = 1"), "id", "c", 10).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, 0), (1, 2, 2, 64), (1, 3, 2, 64)]
+    none = table.where("false")
+    assert hamming.search(none, table, "id", "c", 3).collect() == []
+    assert hamming.search(table, none, "id", "c", 3).collect() == []
+
+
+def test_sign_codes(spark):
+    vectors = [([1.0] * 64,), ([-1.0] * 63 + [0.5],), ([0.0, 2.0, float("nan"), None],), (None,), ([],)]
+    table = spark.createDataFrame(vectors, "v array<float>")
+    got = [r[0] for r in table.select(hamming.sign_code(F.col("v"), 64)).collect()]
+    assert got == [[-1], [-(2**63)], [2], None, [0]]

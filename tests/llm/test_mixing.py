@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.llm import mixing
+from wayfare.session import written
+
+COLUMNS = ("source", "size", "chance", "weight")
+
+
+def slow_targets(sizes, shares=(1, 2, 3), most=3):
+    """By sharing out again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    share = {s: shares[k % len(shares)] for k, s in enumerate(order)}
+    target, capped = {}, set()
+    while True:
+        left = sum(sizes.values()) - sum(most * sizes[s] for s in capped)
+        free = [s for s in order if s not in capped]
+        for s in free:
+            target[s] = left * share[s] / sum(share[f] for f in free)
+        over = {s for s in free if target[s] > most * sizes[s] * (1 + 1e-12)}
+        if not over:
+            return target
+        capped |= over
+        target |= {s: float(most * sizes[s]) for s in capped}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets(spark, seed):
+    draw = random.Random(seed)
+    sizes = {f"s{k}": int(10 ** draw.uniform(0, 5)) for k in range(draw.randint(1, 9))} | {None: 50, "empty": 0}
+    table = spark.createDataFrame(list(sizes.items()), "name string, words bigint")
+    got = {r.source: r.target for r in mixing.targets(table, "name", "words", (1, 2, 3), 3).collect()}
+    want = slow_targets(sizes)
+    assert set(got) == set(want)
+    for s in want:
+        assert got[s] == pytest.approx(want[s], rel=1e-9, abs=1e-9)
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def documents(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, weight double")
+    return table.withColumn("chance", mixing.draw("x", F.col("doc_id"))).withColumn("target", F.lit("old"))
+
+
+def mixed(docs):
+    docs = written(docs, "docs")
+    return mixing.apply_mix(docs, mixing.plan_mix(docs, *COLUMNS), *COLUMNS)
+
+
+def rows(n=3000):
+    draw = random.Random(1)
+    out = [
+        (k, draw.choice(["hot", "hot", "a", "b", None]), int(10 ** draw.uniform(0, 3)), draw.choice([0.5, 1.0, None]))
+        for k in range(n)
+    ]
+    return out + [(n, "tiny", 3, 1.0), (n + 1, "zero", 0, 1.0), (n + 2, "zero", None, 1.0)]
+
+
+def test_taken_words_meet_targets(spark):
+    got = mixed(documents(spark, rows()))
+    assert got.columns == ["doc_id", "source", "size", "weight", "chance", "source_size", "target", "copies", "taken"]
+    by = {r.source: r for r in got.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.max("copies").alias("c")).collect()}
+    for source in ("hot", "a", "b", None):
+        assert abs(by[source].t - by[source].g) <= 0.01 * by[source].g
+        assert by[source].c <= 3
+    assert by["tiny"].t <= 9 and by["zero"].t == 0
+    assert got.count() == 3003
+
+
+def test_reruns_and_layouts_agree(spark):
+    docs = documents(spark, rows(800))
+    one = sorted((tuple(r) for r in mixed(docs).select("doc_id", "taken").collect()), key=repr)
+    two = sorted((tuple(r) for r in mixed(docs.repartition(13)).select("doc_id", "taken").collect()), key=repr)
+    assert one == two
+
+
+def test_odds_follow_weights(spark):
+    """Over many draws each document comes as often as its weight says."""
+    few = [(k, "a", 10, 0.5 if k < 30 else 1.0) for k in range(60)] + [(100 + k, "b", 40, 1.0) for k in range(60)]
+    light = heavy = 0
+    for seed in range(8):
+        table = spark.createDataFrame(few, "doc_id bigint, source string, size bigint, weight double")
+        table = table.withColumn("chance", mixing.draw(f"s{seed}", F.col("doc_id")))
+        docs = written(table, "docs")
+        cuts = mixing.plan_mix(docs, *COLUMNS, shares=(1, 9))
+        got = mixing.apply_mix(docs, cuts, *COLUMNS).where("source = 'a'").collect()
+        light += sum(r.copies for r in got if r.doc_id < 30)
+        heavy += sum(r.copies for r in got if r.doc_id >= 30)
+    assert 0.35 < light / heavy < 0.65
+
+
+def test_ties_and_repeated_rows(spark):
+    same = [(1, "a", 5, 1.0)] * 50 + [(2, "b", 5, 1.0)] * 50
+    got = mixed(documents(spark, same)).collect()
+    assert len(got) == 100
+    assert all(len({r.copies for r in got if r.source == s}) == 1 for s in "ab")
+
+
+def test_empty(spark, plan):
+    out = mixed(documents(spark, []))
+    assert out.collect() == [] and "Python" not in plan(out)

@@ -101,7 +101,8 @@ def reputations(
     domain, suffix = domain_and_suffix(F.col("host"), long_suffixes)
     hosts = hosts.select("host", "n", "bad", domain.alias("domain"), suffix.alias("suffix"))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    overall = ((total["bad"] or 0) + 1) / ((total["n"] or 0) + 2)
+    # Without any label nothing is known against anyone.
+    overall = (total["bad"] + 1) / (total["n"] + 2) if total["n"] else 0.0
 
     def level(groups: DataFrame, prior: str, out: str) -> tuple[DataFrame, float]:
         strength = _strength(groups, prior)
