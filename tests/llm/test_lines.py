@@ -91,7 +91,7 @@ def test_against_all_pairs(spark):
     got = lines.dedup(docs.repartition(5)).select("doc_id", "n_lines", "n_exact", "n_near", "kept_text").collect()
     want = slow(rows)
     assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
-    assert sum(w[2] for w in want) > 20 and sum(w[3] for w in want) > 20
+    assert sum(w[2] for w in want) > 10 and sum(w[3] for w in want) > 20
 
 
 def test_repeated_rows_agree(spark):
