@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -61,115 +61,91 @@ class Ranks:
 
 
 class RankMap:
-    """Pair of ids -> rank, as a literal that Spark can look up in constant time.
+    """Pair of ids -> rank, as literals that Spark can look up in constant time.
 
     Spark searches a map from its start, so 50,000 entries cannot be one map.
-    This is an array of numbers instead: each pair lies in one of the two slots
-    that its hashes name (cuckoo hashing), packed with its rank. The size
+    This is a trie of depth two in arrays: the pairs of a left id lie at an
+    offset of its own plus the right id, rows of different left ids shifted into
+    each other's gaps, and each place names the left id it belongs to. The size
     depends on the vocabulary only.
     """
 
-    # Any odd numbers below 2**40 do; products with ids stay below 2**60.
-    FACTORS = ((0x9E3779B97F, 0xC2B2AE3D27), (0x85EBCA77C3, 0xD6E8FEB867))
-
     def __init__(self, merges: dict[tuple[int, int], int], ids: int):
-        self.bits = max(ids.bit_length(), 1)
-        if self.bits > 20:
-            raise ValueError("more than a million ids do not fit the packed slots")
-        self.size = 1 << max(4, (2 * len(merges)).bit_length())
-        self.slots = self._placed(merges)
-
-    def _slot(self, left: int, right: int, which: int) -> int:
-        a, b = self.FACTORS[which]
-        return ((left * a + right * b) & ((1 << 40) - 1)) >> (41 - self.size.bit_length())
-
-    def _placed(self, merges: dict[tuple[int, int], int]) -> list[int]:
-        """Slots that hold ``(left, right, rank)`` packed, plus one; 0 is empty."""
-        slots, low = [0] * self.size, (1 << self.bits) - 1
-        for (left, right), rank in merges.items():
-            entry, which = ((left << self.bits | right) << self.bits | rank) + 1, 0
-            for _ in range(1000):
-                at = self._slot(left, right, which)
-                entry, slots[at] = slots[at], entry
-                if not entry:
+        rows: dict[int, list[tuple[int, int]]] = {}
+        for (left, right), rank in sorted(merges.items()):
+            rows.setdefault(left, []).append((right, rank))
+        span, window = ids, 512
+        size = 2 * len(merges) + 4 * (span + window)
+        owner, value = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        self.offset = np.zeros(ids, np.int64)
+        start, length = 0, -1
+        # Long rows first; rows of one length go on where the last one lay.
+        for left, row in sorted(rows.items(), key=lambda item: (-len(item[1]), item[0])):
+            if len(row) != length:
+                start, length = 0, len(row)
+            rights = np.array([right for right, _ in row])
+            while True:
+                if start + 2 * (span + window) > len(owner):
+                    owner = np.concatenate((owner, np.full(size, -1)))
+                    value = np.concatenate((value, np.zeros(size, np.int64)))
+                first = start + np.flatnonzero(owner[start : start + window] < 0)
+                fits = (owner[first[:, None] + (rights - rights[0])] < 0).all(axis=1)
+                if fits.any():
                     break
-                # The one thrown out goes to its other slot.
-                key = (entry - 1) >> self.bits
-                left, right = key >> self.bits, key & low
-                which = 1 if self._slot(left, right, 0) == at else 0
-            else:
-                raise ValueError("the rank map has no place for a pair")
-        return slots
-
-    def literal(self) -> Column:
-        return F.split(F.lit(",".join(map(str, self.slots))), ",").cast("array<bigint>")
-
-    def lookup(self, slots: Column, left: Column, right: Column) -> Column:
-        """The rank of a pair, null where it does not join."""
-        key = F.shiftleft(left.cast("long"), self.bits).bitwiseOR(right.cast("long"))
-
-        def found(k: Column) -> Column:
-            hit = F.lit(None).cast("int")
-            for a, b in self.FACTORS[::-1]:
-                mixed = (left * F.lit(a) + right * F.lit(b)).bitwiseAND(F.lit((1 << 40) - 1))
-                at = F.shiftright(mixed, 41 - self.size.bit_length()).cast("int")
-                entry = F.get(slots, at) - 1
-                rank = entry.bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
-                hit = F.when(F.shiftright(entry, self.bits) == k, rank).otherwise(hit)
-            return hit
-
-        return let(key, found)
-
-
-def folded_merges(start: Column, ranks: RankMap, slots: Column) -> Column:
+                start += window
+            place = int(first[np.argmax(fits)])
+            at = place - rights[0] + rights
+            owner[at], value[at] = left, [rank for _, rank in row]
+            self.offset[left] = place - rights[0]
+        used = np.flatnonzero(owner >= 0)[-1] + 1 if rows else 1
+        self.owner, self.value = owner[:used], value[:used]
+
+    def bound(self, body: Callable[[Sequence[Column]], Column]) -> Column:
+        """``body`` of the three arrays, each written into the plan once."""
+
+        def literal(numbers: np.ndarray) -> Column:
+            return F.split(F.lit(",".join(map(str, numbers.tolist()))), ",").cast("array<int>")
+
+        return let(
+            literal(self.offset),
+            lambda a: let(literal(self.owner), lambda b: let(literal(self.value), lambda c: body((a, b, c)))),
+        )
+
+
+def rank_of(arrays: Sequence[Column], left: Column, right: Column) -> Column:
+    """The rank of a pair, null where it does not join."""
+    offset, owner, value = arrays
+    return F.when(
+        F.get(owner, F.get(offset, left) + right) == left, F.get(value, F.get(offset, left) + right)
+    )
+
+
+def folded_merges(start: Column, ranks: Sequence[Column]) -> Column:
     """Merge an array of byte ids until no neighbours join, least rank first.
 
-    The state of the fold holds the ids and, beside them, the rank each joins
-    its right neighbour with. A step merges the first pair of the least rank and
-    looks up its two new neighbourhoods only.
+    Each step of the fold finds the first of the pairs of least rank, puts the
+    rank in the place of its left id and leaves its right id out.
     """
-    none = F.lit(None).cast("int")
 
-    def first_ranks(ids: Column) -> Column:
-        return F.transform(
-            ids,
-            lambda x, i: F.when(F.get(ids, i + 1).isNotNull(), ranks.lookup(slots, x, F.get(ids, i + 1))),
-        )
+    def step(ids: Column, _: Column) -> Column:
+        def merged(joins: Column) -> Column:
+            def at(least: Column) -> Column:
+                def without(p: Column) -> Column:
+                    # p counts from 1, so it is the place of the right id from 0.
+                    rest = F.filter(ids, lambda x, i: i != p)
+                    return F.transform(rest, lambda x, i: F.when(i == p - 1, least).otherwise(x))
 
-    def step(state: Column, _: Column) -> Column:
-        def merged(least: Column) -> Column:
-            def at(p: Column) -> Column:
-                # p counts from 1: the pair is ids[p - 1] and ids[p].
-                ids, joins = state["ids"], state["joins"]
-                before, after = F.get(ids, p - 2), F.get(ids, p + 1)
-                left = F.when(p > 1, F.array(F.when(p > 1, ranks.lookup(slots, before, least)))).otherwise(
-                    F.array().cast("array<int>")
-                )
-                right = F.when(after.isNotNull(), ranks.lookup(slots, least, after)).otherwise(none)
-                rest = F.size(ids)
-                return F.struct(
-                    F.concat(F.slice(ids, 1, p - 1), F.array(least), F.slice(ids, p + 2, rest)).alias("ids"),
-                    F.concat(
-                        F.slice(joins, 1, F.greatest(p - 2, F.lit(0))),
-                        left,
-                        F.array(right),
-                        F.slice(joins, p + 2, rest),
-                    ).alias("joins"),
+                return F.when(least.isNull(), ids).otherwise(
+                    let(F.array_position(joins, least), without)
                 )
 
-            return F.when(least.isNull(), state).otherwise(
-                let(F.array_position(state["joins"], least).cast("int"), at)
-            )
+            return let(F.array_min(joins), at)
 
-        return let(F.array_min(state["joins"]), merged)
+        # Beyond the end there is no right neighbour and so no rank.
+        return let(F.transform(ids, lambda x, i: rank_of(ranks, x, F.get(ids, i + 1))), merged)
 
     return F.when(F.size(start) < 2, start).otherwise(
-        F.aggregate(
-            F.sequence(F.lit(2), F.size(start)),
-            F.struct(start.alias("ids"), first_ranks(start).alias("joins")),
-            step,
-            lambda state: state["ids"],
-        )
+        F.aggregate(F.sequence(F.lit(2), F.size(start)), start, step)
     )
 
 
@@ -212,7 +188,7 @@ def blocks(
     ``words`` has the distinct words of the block as arrays of byte ids, and
     ``docs`` each document's kept columns with its words as places in that array.
     A block is never larger than an Arrow batch; one long document is a block of
-    its own. Words above ``long`` bytes come with their merges done.
+    its own. Words above ``long`` bytes, and words that are pieces, come with their merges done.
     """
     find = regex.compile(pattern).findall
     kept = [docs.schema[name] for name in keep]
@@ -239,8 +215,10 @@ def blocks(
         merged = [
             merged_by_heap(ranks.byte_ids[np.frombuffer(w, dtype=np.uint8)].tolist(), ranks.merges)
             if len(w) > long
-            else None
+            else whole
             for w in words
+            # A word that is a piece is its own and only token.
+            for whole in [[ranks.rank[w]] if w in ranks.rank else None]
         ]
         words = [b"" if m is not None else w for w, m in zip(words, merged)]
         offsets = np.concatenate(([0], np.cumsum([len(u) for u in used]))).astype(np.int32)
@@ -279,7 +257,7 @@ def encode(
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
     into: str = "ids",
-    block_chars: int = 4_000_000,
+    block_chars: int = 16_000_000,
     long_word: int = 512,
 ) -> DataFrame:
     """The kept columns and ``into``, the ids of each whole text.
@@ -305,13 +283,13 @@ def encode(
             ),
         )
 
-    def of_words(slots: Column) -> Column:
+    def of_words(arrays: Sequence[Column]) -> Column:
         return F.transform(
-            "words", lambda w, k: F.coalesce(F.get("merged", k), folded_merges(w, found, slots))
+            "words", lambda w, k: F.coalesce(F.get("merged", k), folded_merges(w, arrays))
         )
 
     whole = blocks(docs, text, keep, ranks, pattern, block_chars, long_word)
-    return whole.select(F.inline(let(let(found.literal(), of_words), assembled)))
+    return whole.select(F.inline(let(found.bound(of_words), assembled)))
 
 
 def little_endian(ids: Column, count: int) -> Column:
