@@ -209,7 +209,9 @@ def judged_lines(docs: DataFrame, min_words: int) -> DataFrame:
         F.collect_list(F.struct(F.col("first.line").alias("line"), "rank")).alias("lines")
     )
     same = (docs[DOC[0]].eqNullSafe(wishes[DOC[0]])) & (docs[DOC[1]] == wishes[DOC[1]])
-    said = _said(docs.join(wishes, same).select(docs["line__text"], "lines"))
+    # One plan at every size: a broadcast here would save the texts' shuffle on small
+    # tables only.
+    said = _said(docs.join(wishes.hint("merge"), same).select(docs["line__text"], "lines"))
     # Rows that repeat a document say the same.
     said = written(said.dropDuplicates(["rank"]), "line-texts")
     near = near_links(said).select(F.col("later").alias("rank")).distinct()
