@@ -19,6 +19,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )

@@ -36,31 +36,7 @@ def test_cells_and_their_centres(spark):
     assert [r[0] for r in back.collect()] == [0, 107 + 239 * 250]
 
 
-def walk(x1, y1, x2, y2):
-    """The cells of a way, step by step."""
-    if x1 > x2:
-        x1, y1, x2, y2 = x2, y2, x1, y1
-    turn = -1 if y2 < y1 else 1
-    rise = abs(y2 - y1)
-    slope = rise / (x2 - x1 + 1e-8)
-    x = up = 0
-    cells = [(x1, y1)]
-    while x < x2 - x1 or up != rise:
-        edge = (x + 0.5) * slope - 0.5
-        if up - geo.CORNER < edge < up + geo.CORNER:
-            x, up = x + 1, up + 1
-        elif edge < up:
-            x += 1
-        else:
-            up += 1
-        cells.append((x1 + x, y1 + turn * up))
-    return [a + b * geo.GRID_WIDTH for a, b in cells]
-
-
-def test_ways_match_walking_them(spark):
-    chance = random.Random(3)
-    ends = [(0, 0, 0, 0), (0, 0, 5, 5), (0, 5, 5, 0), (3, 0, 3, 9), (0, 4, 9, 4), (9, 9, 0, 0)]
-    ends += [tuple(chance.randrange(n) for n in (250, 400, 250, 400)) for _ in range(300)]
+def ways(spark, ends):
     lon = lambda x: -(74.05 - (x + 0.5) * geo.DELTA_LON)
     lat = lambda y: 41.0 - (y + 0.5) * geo.DELTA_LAT
     df = spark.createDataFrame(
@@ -69,9 +45,29 @@ def test_ways_match_walking_them(spark):
     )
     found = {}
     for row in geo.route_cells(df, "start_lon", "start_lat", "end_lon", "end_lat").collect():
-        found.setdefault(row["id"], []).append(row["cell"])
-    for i, end in enumerate(ends):
-        assert sorted(found[i]) == sorted(walk(*end)), end
+        cell = row["cell"]
+        found.setdefault(row["id"], []).append((cell % geo.GRID_WIDTH, cell // geo.GRID_WIDTH))
+    return [found[i] for i in range(len(ends))]
+
+
+def test_geometry_of_ways(spark):
+    chance = random.Random(3)
+    ends = [(0, 0, 0, 0), (0, 0, 5, 5), (0, 5, 5, 0), (3, 0, 3, 9), (3, 9, 3, 0), (0, 4, 9, 4), (9, 9, 0, 0)]
+    ends += [tuple(chance.randrange(n) for n in (250, 400, 250, 400)) for _ in range(300)]
+    there, back = ways(spark, ends), ways(spark, [(c, d, a, b) for a, b, c, d in ends])
+    for (x1, y1, x2, y2), cells, other in zip(ends, there, back):
+        assert len(set(cells)) == len(cells) and set(cells) == set(other)
+        assert {(x1, y1), (x2, y2)} <= set(cells)
+        assert all(min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2) for x, y in cells)
+        # From west to east, each cell touches the one before.
+        turn = 1 if (y2 - y1) * (x2 - x1) >= 0 else -1
+        steps = sorted(cells, key=lambda cell: (cell[0], turn * cell[1]))
+        assert all(0 <= c - a <= 1 and abs(d - b) <= 1 for (a, b), (c, d) in zip(steps, steps[1:]))
+        # No cell's middle is further from the line than a cell's diagonal.
+        length = math.hypot(x2 - x1, y2 - y1)
+        for x, y in cells:
+            off = abs((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)) / length if length else 0
+            assert off <= math.sqrt(2)
 
 
 def test_ways_outside_the_city_are_left_out(spark):

@@ -59,30 +59,28 @@ def test_popularity_drops_unknown_zones_and_breaks_ties(spark, zones):
     assert [tuple(r) for r in found] == [("Bronx", 2), ("Queens", 2)]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
-def test_distances(spark, zones, broadcast_bytes):
+def test_distances(spark, zones):
     trips = rows(
         spark,
         [trip(origin=1, distance=d) for d in (0.005, 2.0, None)]
         + [trip(origin=2, distance=None), trip(origin=99, distance=7.0)],
         TRIPS,
     )
-    inner = marts.distance_by_borough(trips, zones, broadcast_bytes=broadcast_bytes)
+    inner = marts.distance_by_borough(trips, zones)
     assert [tuple(r) for r in inner.collect()] == [
         ("Queens", 3, 0.005, 1.0, 2.0), ("Bronx", 1, None, None, None),
     ]
     left = marts.distance_by_borough(
-        trips, zones, how="left", broadcast_bytes=broadcast_bytes
+        trips, zones, how="left"
     ).collect()
     assert {r["Borough"]: r["total_trips"] for r in left} == {"Queens": 3, "Bronx": 1, None: 1}
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
-def test_repeated_zone_ids_multiply_as_in_a_plain_join(spark, broadcast_bytes):
+def test_repeated_zone_ids_multiply_as_in_a_plain_join(spark):
     trips = rows(spark, [trip(origin=1)] * 3, TRIPS)
     twice = rows(spark, [ZONES[0], (1, "Bronx", "B", "BORO")], ZONE)
     found = rollup_by_dimension(
-        trips, twice, "PULocationID", "LocationID", "Borough", broadcast_bytes=broadcast_bytes
+        trips, twice, "PULocationID", "LocationID", "Borough"
     )
     assert {r["Borough"]: r["n"] for r in found.collect()} == {"Queens": 3, "Bronx": 3}
 

@@ -4,6 +4,8 @@ import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from wayfare.functions.codec import decode_transactions
+from wayfare.functions.text import register_strlen
 from wayfare.plans import clicks, marts, rides, selection
 from wayfare.schemas import RIDE, ZONE
 from wayfare.sinks import files as sink
@@ -71,6 +73,17 @@ def test_messages_are_decoded_once(spark, folder, plan):
     assert counts.first()["count"] == 1
 
 
+def test_transactions_and_lengths_are_worked_out_once(spark, folder, plan):
+    sink.text(spark.createDataFrame([("1, 5, 2020-01-01 00:00:00",)], "value string"), f"{folder}/spent")
+    spent = decode_transactions(spark.read.text(f"{folder}/spent")).where("amount > 1 AND account_id < 9")
+    assert plan(spent).count("from_csv") == 1
+    register_strlen(spark)
+    names = rows(spark, [(1, "Queens", "A zone with a long name", "BORO"), (2, "Queens", "short", "BORO")], ZONE)
+    long = selection.long_names_sql(spark, view(names, "named"))
+    assert plan(long).count("ArrowEvalPython") == 1
+    assert [r["name_length"] for r in long.collect()] == [23]
+
+
 def test_long_rides_are_one_hash_aggregate(spark, folder, plan):
     sink.parquet(spark.createDataFrame([], RIDE), f"{folder}/rides")
     text = plan(rides.long_rides(files.parquet(spark, f"{folder}/rides")))

@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from wayfare.plans import marts
 from wayfare.schemas import ZONE
-from wayfare.session import scratch_path, shared_folder, written
+from wayfare.session import scratch, scratch_path, shared_folder, written
 from wayfare.sinks import files as sink
 from wayfare.sinks import keyed
 from wayfare.sources import files, jdbc, topics
@@ -69,9 +71,31 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert written(spark.range(3).toDF("id"), "x").count() == 3
 
 
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "spark://host:7077"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_scratch_is_deleted_with_its_block(spark):
+    with scratch(spark):
+        table = written(spark.range(3).toDF("id"), "x")
+        path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(path) and table.count() == 3
+    assert not os.path.exists(path)
+
+
 def test_jdbc_settings(spark):
-    query = jdbc.subquery(jdbc.EMPLOYEE_TITLES)
-    assert query.startswith("(select") and query.endswith(") as result")
+    query = jdbc.joined_query("people", "posts", "id", ("people.name", "posts.post"), "people.name")
+    assert query == (
+        "(SELECT people.name, posts.post FROM people JOIN posts USING (id) ORDER BY people.name) as result"
+    )
     spark.conf.set("spark.wayfare.jdbc.url", "jdbc:none:here")
     spark.conf.set("spark.wayfare.jdbc.user", "someone")
     spark.conf.set("spark.wayfare.jdbc.password", "hidden")
@@ -81,14 +105,14 @@ def test_jdbc_settings(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         jdbc.read(spark, found, query, jdbc.Ranges("emp_no", "1", "100", 4))
     with pytest.raises(Exception, match="(?i)driver"):
-        sink.jdbc(spark.range(1), found, "t")
+        sink.jdbc(spark.range(1), found, "t", connections=2)
 
 
 def test_topic_settings(spark):
-    options = topics.topic_options("host:9092", "input", group="click-event-count", rows_per_batch=5)
+    options = topics.topic_options("host:9092", "input", group="counting", rows_per_batch=5)
     assert options == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "input", "startingOffsets": "latest",
-        "kafka.group.id": "click-event-count", "maxOffsetsPerTrigger": "5",
+        "kafka.group.id": "counting", "maxOffsetsPerTrigger": "5",
     }
     with pytest.raises(Exception, match="kafka"):
         topics.topic(spark, "host:9092", "input")

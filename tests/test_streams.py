@@ -145,19 +145,23 @@ def test_alarm_state_resumes_after_a_restart(spark, folder):
     assert [row[1] for row in got] == [2]
 
 
-def test_rides_settled_in_a_batch_go_no_further():
-    import pandas as pd
+REPEATS = {
+    "start again with its end": [[ride(1, True, 0)], [ride(1, True, 0), ride(1, False, 60, 0)]],
+    "start again after its end": [[ride(1, True, 0), ride(1, False, 60, 0)], [ride(1, True, 0)]],
+    "end first, twice": [[ride(1, False, 60, 0)], [ride(1, False, 60, 0), ride(1, True, 0)], [ride(1, False, 60, 0)]],
+    "never ended, twice": [[ride(2, True, 0)], [ride(2, True, 0)]],
+    "ended late, twice": [[ride(2, True, 0)], [ride(2, False, 3 * HOUR, 0)], [ride(2, False, 3 * HOUR, 0)]],
+    "long after": [[ride(1, True, 0), ride(1, False, 60, 0)], [ride(9, True, 4 * HOUR)], [ride(8, True, 5 * HOUR)], [ride(1, True, 0)]],
+}
 
-    batch = pd.DataFrame(
-        [(1, True, 0), (1, False, 60), (2, True, 0), (3, False, 5), (4, True, 0), (4, False, 3 * HOUR)],
-        columns=["ride_id", "is_start", "at"],
-    )
-    batch["event_us"] = batch.pop("at") * 1_000_000
-    for name in alarms.DETAILS:
-        batch[name] = 1
-    (found,) = alarms.combine_rides([batch])
-    assert found["ride_id"].tolist() == [2, 3, 4]
-    assert found["end_us"].isna().tolist() == [True, False, False]
+
+@pytest.mark.parametrize("name", REPEATS)
+def test_repeated_events_raise_no_other_alarms(spark, folder, name):
+    batches = [*REPEATS[name], [ride(50, True, 10 * HOUR)]]
+    path = put(spark, folder, batches, RIDE)
+    got, _ = run(alarms.long_rides_stateful(files.ride_stream(spark, path, 1)), folder)
+    batch = ride_plans.long_rides(spark.read.schema(RIDE).parquet(path))
+    assert sorted(row[1] for row in got) == sorted(row["ride_id"] for row in batch.collect())
 
 
 # --- windows and joins ------------------------------------------------------

@@ -122,8 +122,8 @@ def route_cells(
     def height(i: Column) -> Column:
         # Height of the line at the right edge of column i, above the lower
         # edge of the first cell, in cells.
-        slope = F.col("rise__") / (F.col("run__") + F.lit(1e-8))
-        return (i + F.lit(0.5)) * slope - F.lit(0.5)
+        # Only asked for where there is a next column, so the run is not 0.
+        return (i + F.lit(0.5)) * F.try_divide("rise__", "run__") - F.lit(0.5)
 
     entered = F.when(
         F.col("i__") > 0,

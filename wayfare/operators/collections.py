@@ -4,69 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.operators.slicing import (
-    DEFAULT_LIMITS,
-    By,
-    Limits,
-    cut_into_slices,
-    in_hot_group,
-    needs_slicing,
-    ordered_window,
-    same_keys,
-)
+from wayfare.operators.slicing import PART, By, handed_on, in_parts, in_place
 
 
 def drop_repeats(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    order: Sequence[By],
-    limits: Limits = DEFAULT_LIMITS,
+    df: DataFrame, keys: Sequence[str], value: str, order: Sequence[By]
 ) -> DataFrame:
     """Keep a row if its value differs from the row before it in its group.
 
     The first row of a group is kept always. ``order`` must be a total order.
     """
-    slices: list[By] = []
-    columns = df.columns
-    if needs_slicing(df, limits):
-        df, slices = cut_into_slices(df, keys, order, limits)
-    groups = [*keys, *[part.column for part in slices]]
-    window = ordered_window(groups, order)
-    flagged = df.withColumn("first__", F.row_number().over(window) == 1).withColumn(
-        "before__", F.lag(value).over(window)
+    local = in_place(keys)
+    flagged = in_parts(df, keys, order).withColumns(
+        {
+            "first__": F.row_number().over(local) == 1,
+            "before__": F.lag(value).over(local),
+            "last__": F.lead(F.lit(True)).over(local).isNull(),
+        }
     )
-    changed = ~F.col(value).eqNullSafe(F.col("before__"))
-    if not slices:
-        return flagged.where(F.col("first__") | changed).select(*columns)
-
-    # The first row of a slice is compared with the last value of the slice
-    # before it: one row per slice, bounded by the limits.
-    last = df.where(in_hot_group(slices)).groupBy(*groups).agg(
-        F.max_by(F.struct(value), F.struct(*[_rising(by) for by in order])).alias("last__")
-    )
-    walk = ordered_window(keys, slices)
-    handed = (
-        last.withColumn("handed__", F.lag("last__").over(walk))
-        .where(F.col("handed__").isNotNull())
-        .select(*[F.col(g).alias(f"at_{g}") for g in groups], "handed__")
-    )
-    pairs = [(g, f"at_{g}") for g in groups]
-    joined = flagged.join(F.broadcast(handed), same_keys(flagged, handed, pairs), "left")
+    # The first row of a part is compared with the group's last value before it.
+    last = flagged.where("last__").select(PART, *keys, F.struct(value).alias("handed__"))
+    walk = Window.partitionBy(*keys).orderBy(PART)
+    last = last.withColumn("handed__", F.lag("handed__").over(walk))
+    joined = handed_on(flagged, last, keys, "handed__")
     kept = F.when(
         F.col("first__"),
         F.col("handed__").isNull() | ~F.col(value).eqNullSafe(F.col(f"handed__.{value}")),
-    ).otherwise(changed)
-    return joined.where(kept).select(*columns)
-
-
-def _rising(by: By):
-    if by.desc:
-        raise ValueError("runs of equal values are walked in rising order")
-    return F.col(by.column)
+    ).otherwise(~F.col(value).eqNullSafe(F.col("before__")))
+    return joined.where(kept).select(*df.columns)
 
 
 def records_from_pairs(

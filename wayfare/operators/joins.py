@@ -1,4 +1,8 @@
-"""Equi-joins shaped for facts with hot keys."""
+"""Equi-joins shaped for facts with hot keys.
+
+No side is marked for broadcast: the planner and adaptive execution choose by the
+session's threshold and by sizes measured while running.
+"""
 
 from __future__ import annotations
 
@@ -8,25 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.operators.slicing import same_keys
-from wayfare.session import planned_bytes
-
-BROADCAST_BYTES = 32 << 20
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast if the planner's estimate of it is below ``limit``.
-
-    Beyond the limit ``df`` comes back unmarked: the planner then shuffles both
-    sides, and adaptive execution splits hot keys.
-    """
-    return F.broadcast(df) if planned_bytes(df) <= limit else df
 
 
 def join_keys(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner"
 ) -> DataFrame:
     """Equi-join on differently named keys; the right side is the dimension."""
-    return left.join(small_side(right), left[left_key] == right[right_key], how)
+    return left.join(right, left[left_key] == right[right_key], how)
 
 
 def join_using(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -34,24 +26,15 @@ def join_using(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) ->
     return left.join(right, keys if isinstance(keys, str) else list(keys))
 
 
-def join_back(
-    df: DataFrame, found: DataFrame, keys: Sequence[str], size_of: DataFrame | None = None
-) -> DataFrame:
-    """Join rows with facts found about their ``keys`` (one row per key, nulls equal).
-
-    ``size_of`` is a table at least as large as ``found`` whose size is known;
-    where it is small, the rows stay where they are and are not shuffled.
-    """
+def join_back(df: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join rows with facts found about their ``keys`` (one row per key, nulls equal)."""
     renamed = found.select(
         *[F.col(key).alias(f"found_{key}") for key in keys],
         *[F.col(name) for name in found.columns if name not in keys],
     )
-    side = renamed
-    if size_of is not None and planned_bytes(size_of) <= BROADCAST_BYTES:
-        side = F.broadcast(renamed)
     pairs = [(key, f"found_{key}") for key in keys]
-    joined = df.join(side, same_keys(df, renamed, pairs))
-    return joined.drop(*[f"found_{key}" for key in keys])
+    joined = df.join(renamed, same_keys(df, renamed, pairs))
+    return joined.drop(*[right for _, right in pairs])
 
 
 def rollup_by_dimension(
@@ -62,15 +45,12 @@ def rollup_by_dimension(
     group: str,
     measure: str | None = None,
     how: str = "inner",
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Count (and measure) facts per ``group`` of the dimension they point to.
 
-    A dimension below ``broadcast_bytes`` is sent to the facts, which are then
-    combined per group where they are read. With a larger one the facts are
-    combined per key first, so that a hot key is one row when it meets the
-    dimension and the join moves keys instead of facts. A left join keeps facts
-    with an unknown key under a null group.
+    Facts are combined per key where they are read, so that a hot key is one row
+    when it meets the dimension and the join moves keys instead of facts. A left
+    join keeps facts with an unknown key under a null group.
 
     Returns ``group, n`` and, with a measure, ``low, high, total, measured``.
     """
@@ -90,9 +70,6 @@ def rollup_by_dimension(
             F.sum("total").alias("total"),
             F.sum("measured").alias("measured"),
         ]
-    if planned_bytes(names) <= broadcast_bytes:
-        joined = facts.join(F.broadcast(names), facts[fact_key] == names[dimension_key], how)
-        return joined.groupBy(group).agg(*counted)
     per_key = facts.groupBy(fact_key).agg(*counted)
     return per_key.join(names, per_key[fact_key] == names[dimension_key], how).groupBy(
         group

@@ -14,49 +14,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.operators.joins import join_back
-from wayfare.operators.slicing import (
-    DEFAULT_LIMITS,
-    By,
-    Limits,
-    needs_slicing,
-    ordered_window,
-    with_positions,
-)
-from wayfare.session import written
+from wayfare.operators.slicing import By, ordered_window, with_positions
 
 
-def with_rank(
-    df: DataFrame,
-    partition: Sequence[str],
-    by: By,
-    kind: str = "dense_rank",
-    name: str = "rank",
-    limits: Limits = DEFAULT_LIMITS,
+def ranks_of_values(
+    df: DataFrame, partition: Sequence[str], by: By, kind: str = "dense_rank", name: str = "rank"
 ) -> DataFrame:
-    """Add ``dense_rank()`` or ``rank()`` over (partition order by ``by``)."""
+    """The distinct values of each partition with their rank."""
     if kind not in ("dense_rank", "rank"):
         raise ValueError(f"unknown kind of rank: {kind}")
-    if not needs_slicing(df, limits):
-        function = F.dense_rank() if kind == "dense_rank" else F.rank()
-        return df.withColumn(
-            name, function.over(ordered_window(partition, [by])).cast("bigint")
-        )
-    values = written(
-        df.groupBy(*partition, by.column).agg(F.count(F.lit(1)).alias("rows__")), "values"
-    )
-    placed = with_positions(values, partition, [by], "rows__", limits)
+    values = df.groupBy(*partition, by.column).agg(F.count(F.lit(1)).alias("rows__"))
+    placed = with_positions(values, partition, [by], "rows__")
     rank = F.col("position") if kind == "dense_rank" else F.col("weight_before") + 1
-    ranks = placed.select(*partition, by.column, rank.alias(name))
-    return join_back(df, ranks, [*partition, by.column], size_of=values)
+    return placed.select(*partition, by.column, rank.alias(name))
 
 
-def nth_distinct(
+def with_rank(
     df: DataFrame,
     partition: Sequence[str],
     by: By,
-    n: int,
-    limits: Limits = DEFAULT_LIMITS,
+    kind: str = "dense_rank",
+    name: str = "rank",
 ) -> DataFrame:
+    """Add ``dense_rank()`` or ``rank()`` over (partition order by ``by``)."""
+    ranks = ranks_of_values(df, partition, by, kind, name)
+    return join_back(df, ranks, [*partition, by.column])
+
+
+def nth_distinct(df: DataFrame, partition: Sequence[str], by: By, n: int) -> DataFrame:
     """The rows of each partition that hold its n-th distinct value.
 
     The distinct values are cut to n per partition before their shuffle (the
@@ -71,8 +56,4 @@ def nth_distinct(
         .where(F.col("rank__") == n)
         .drop("rank__")
     )
-    if not needs_slicing(df, limits):
-        return join_back(df, chosen, [*partition, by.column])
-    # Written, its true size is known and the rows need not be shuffled to it.
-    chosen = written(chosen, "values")
-    return join_back(df, chosen, [*partition, by.column], size_of=chosen)
+    return join_back(df, chosen, [*partition, by.column])

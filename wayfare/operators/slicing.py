@@ -1,25 +1,24 @@
 """Ordered work on groups too big for one task.
 
-A window function sends each group to one task. Where one group may hold a
-third of all rows, it is first cut into slices along its own sort order, at
-quantiles of the sort column. Each slice is then worked on by itself and only
-a few numbers per slice (its length, its last value) travel between slices.
-
-The cut points are collected once and become literals of the plan, so that
-every branch of the plan, and every retry of a lost task, cuts the same way.
+A window function sends each group to one task. Where a group may hold a third
+of all rows, the rows are first range-partitioned by the group's keys and the
+sort columns, so a large group spreads over many parts, and written once. Each
+part is then worked on by itself, and one row per part and group (its length, its
+last value) is handed on. A part has at most one group that began in an earlier
+one, so what is handed on is never more than a row per part.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wayfare.session import planned_bytes
+from wayfare.session import written
+
+PART, PLACE = "part__", "place__"
 
 
 @dataclass(frozen=True)
@@ -34,29 +33,6 @@ class By:
         return column.desc_nulls_last() if self.desc else column.asc_nulls_first()
 
 
-@dataclass(frozen=True)
-class Limits:
-    """When and how finely to cut.
-
-    Groups outside the ``max_hot_groups`` largest hold less than one
-    ``max_hot_groups``-th of the rows each. The number of slices of all groups
-    together stays below ``max_slices + max_hot_groups`` per sort column.
-    """
-
-    small_input_bytes: int = 64 << 20
-    rows_per_slice: int = 4_000_000
-    max_hot_groups: int = 1024
-    max_slices: int = 4096
-
-
-DEFAULT_LIMITS = Limits()
-
-
-def needs_slicing(df: DataFrame, limits: Limits) -> bool:
-    """Whether ``df`` may be too big for one task per group."""
-    return planned_bytes(df) > limits.small_input_bytes
-
-
 def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality of the named columns."""
     condition = F.lit(True)
@@ -70,162 +46,52 @@ def ordered_window(keys: Sequence[str], order: Sequence[By]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*[by.expr() for by in order])
 
 
-def _numeric(column: Column, kind: T.DataType) -> Column | None:
-    """``column`` as a number, equal and ordered as the column is, if it has one."""
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(column.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column)
-    if isinstance(kind, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType)):
-        return column.cast("int")
-    if isinstance(kind, T.LongType):
-        return column
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return column.cast("double")
-    if isinstance(kind, T.DecimalType) and kind.precision < 18:
-        return (column * F.lit(10**kind.scale)).cast("bigint")
-    return None
-
+def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[By]) -> DataFrame:
+    """``df`` cut along keys and order, with the part and the place of each row.
 
-def _hot_groups(df: DataFrame, groups: Sequence[str], limits: Limits) -> list[Row]:
-    """The largest groups with too many rows for one task: few, by the limit.
-
-    The collected rows are keys and counts.
+    Places rise through the parts in sort order. The sort is Spark's own, so
+    nulls, NaN, text and zone-less times are cut as they sort. Rows that tie in
+    all columns are cut by where they came from. The table is written to the shared
+    folder, so that all branches of a plan, and retries, see one cut.
     """
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows__"))
-    return (
-        counts.where(F.col("rows__") > limits.rows_per_slice)
-        .orderBy(F.desc("rows__"))
-        .limit(limits.max_hot_groups)
-        .collect()
+    tie = "tie__"
+    along = [F.col(key).asc_nulls_first() for key in keys]
+    along += [*[by.expr() for by in order], F.col(tie)]
+    cut = (
+        df.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(*along)
+        .sortWithinPartitions(*along)
+        .drop(tie)
+        .withColumn(PLACE, F.monotonically_increasing_id())
     )
+    # The upper bits of the id are the number of the partition.
+    return written(cut, "parts").withColumn(PART, F.shiftright(PLACE, 33))
 
 
-def _cut_points(
-    df: DataFrame, groups: Sequence[str], hot: list[Row], value: Column, limits: Limits
-) -> tuple[list[tuple], bool]:
-    """Per hot group its key values and sorted cut points; whether a value repeats.
-
-    A value that comes twice among the quantiles fills a slice alone.
-    """
-    spark = df.sparkSession
-    rows = max(
-        limits.rows_per_slice,
-        math.ceil(sum(row["rows__"] for row in hot) / limits.max_slices),
-    )
-    finest = max(2, math.ceil(max(row["rows__"] for row in hot) / rows))
-    shares = [i / finest for i in range(1, finest)]
-    quantiles = F.percentile_approx("value__", shares, max(1000, 4 * finest))
-    # Smaller groups keep fewer of the points, in proportion to their rows.
-    wanted = F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) / rows)).cast("int")
-    every = F.greatest(F.lit(1), F.floor(F.lit(finest) / wanted)).cast("int")
-    values = df.select(*groups, value.alias("value__"))
-    if groups:
-        schema = T.StructType([df.schema[name] for name in groups])
-        keys = spark.createDataFrame([tuple(row[g] for g in groups) for row in hot], schema)
-        few = keys.select([F.col(name).alias(f"hot_{name}") for name in groups])
-        pairs = [(name, f"hot_{name}") for name in groups]
-        values = values.join(F.broadcast(few), same_keys(values, few, pairs), "left_semi")
-    found = values.groupBy(*groups).agg(quantiles.alias("cuts__"), every.alias("every__"))
-    thinned = F.filter("cuts__", lambda _, i: i % F.col("every__") == 0).alias("cuts__")
-    result = []
-    repeats = False
-    for row in found.select(*groups, thinned).collect():
-        points = [x for x in (row["cuts__"] or []) if x == x]
-        cuts = sorted(set(points))
-        repeats |= len(cuts) < len(points)
-        if cuts:
-            result.append((*[row[g] for g in groups], cuts))
-    return result, repeats
+def in_place(keys: Sequence[str]) -> WindowSpec:
+    """The rows of a group within a part, in order."""
+    return Window.partitionBy(PART, *keys).orderBy(PLACE)
 
 
-def _with_slice(df: DataFrame, name: str, value: Column, cuts: str, most: int) -> DataFrame:
-    """Add the slice of a value: even where all rows of the slice have one value.
+def handed_on(
+    placed: DataFrame, by_part: DataFrame, keys: Sequence[str], value: str
+) -> DataFrame:
+    """Left-join rows with what the parts before hand to their group.
 
-    Rows of groups that are not hot get -1 and nulls 0. Between the cut points
-    lie the odd numbers from 1; rows equal to a cut point have an even number
-    of their own, so a value that fills a slice alone can be told. ``most`` is
-    the greatest number of cut points; they are searched by halving.
+    ``by_part`` has a row per part and group with a non-null ``value``; there is at
+    most one row per part, which bounds what is broadcast.
     """
-    found = "below__"
-    df = df.withColumn("value__", value).withColumn(found, F.lit(0))
-    step = 1 << (most.bit_length() - 1)
-    while step:
-        point = F.get(cuts, F.col(found) + (step - 1))
-        df = df.withColumn(
-            found, F.when(point < F.col("value__"), F.col(found) + step).otherwise(F.col(found))
-        )
-        step >>= 1
-    on_cut = F.get(cuts, F.col(found)) == F.col("value__")
-    number = (
-        F.when(F.col(cuts).isNull(), F.lit(-1))
-        .when(F.col("value__").isNull(), F.lit(0))
-        .otherwise(F.col(found) * 2 + F.when(on_cut, 2).otherwise(1))
+    few = by_part.where(F.col(value).isNotNull()).select(
+        *[F.col(name).alias(f"at_{name}") for name in (PART, *keys)],
+        *[name for name in by_part.columns if name not in (PART, *keys)],
     )
-    # Through a generator, so that conditions on the slice stay above the
-    # search: pushed below it they would repeat all its steps, each twice.
-    return df.select("*", F.explode_outer(F.array(number)).alias(name))
-
-
-def cut_into_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[By], limits: Limits
-) -> tuple[DataFrame, list[By]]:
-    """Tag every row of a hot group with its slice.
-
-    Returns the tagged table and the slice columns in sort order; no columns
-    are added where no group is hot. Slices of a group are in the order of
-    ``order``, and rows with equal sort values share a slice. If one value of
-    a sort column is itself hot, its rows are cut again by the next column.
-    Sort columns that are not numbers or times end the cutting.
-    """
-    slices: list[By] = []
-    for by in order:
-        value = _numeric(F.col(by.column), df.schema[by.column].dataType)
-        if value is None:
-            break
-        groups = [*keys, *[part.column for part in slices]]
-        # Only rows equal in the columns before may be cut by this one.
-        equal_so_far = df.where(F.col(slices[-1].column) % 2 == 0) if slices else df
-        hot = _hot_groups(equal_so_far, groups, limits)
-        if not hot:
-            break
-        cuts, repeats = _cut_points(equal_so_far, groups, hot, value, limits)
-        if not cuts:
-            break
-        kind = T.DoubleType() if isinstance(cuts[0][-1][0], float) else T.LongType()
-        schema = T.StructType(
-            [T.StructField(f"hot_{g}", df.schema[g].dataType) for g in groups]
-            + [T.StructField("cuts__", T.ArrayType(kind))]
-        )
-        name = f"slice_{len(slices)}__"
-        if groups:
-            table = df.sparkSession.createDataFrame(cuts, schema)
-            pairs = [(g, f"hot_{g}") for g in groups]
-            joined = df.join(F.broadcast(table), same_keys(df, table, pairs), "left")
-        else:
-            joined = df.withColumn("cuts__", F.lit(cuts[0][-1]).cast(T.ArrayType(kind)))
-        most = max(len(row[-1]) for row in cuts)
-        tagged = _with_slice(joined, name, value.cast(kind), "cuts__", most)
-        df = tagged.select(*df.columns, name)
-        slices.append(By(name, by.desc))
-        if not repeats:
-            break
-    return df, slices
-
-
-def in_hot_group(slices: Sequence[By]) -> Column:
-    """Whether a row's group was cut; only there do slices hand numbers on."""
-    return F.col(slices[0].column) >= 0
+    pairs = [(name, f"at_{name}") for name in (PART, *keys)]
+    joined = placed.join(F.broadcast(few), same_keys(placed, few, pairs), "left")
+    return joined.drop(*[right for _, right in pairs])
 
 
 def with_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[By],
-    weight: str | None = None,
-    limits: Limits = DEFAULT_LIMITS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[By], weight: str | None = None
 ) -> DataFrame:
     """Number the rows of each group from 1 in sort order, as ``position``.
 
@@ -233,44 +99,27 @@ def with_positions(
     before. Without ``keys`` the whole table is one group. ``order`` should
     name a total order, or equal rows are numbered in any order.
     """
-    slices: list[By] = []
-    if needs_slicing(df, limits):
-        df, slices = cut_into_slices(df, keys, order, limits)
-    columns = [name for name in df.columns if name not in {s.column for s in slices}]
-    groups = [*keys, *[part.column for part in slices]]
-    window = ordered_window(groups, order)
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    placed = df.withColumn("position", F.row_number().over(window).cast("bigint"))
-    if weight is not None:
-        placed = placed.withColumn(
-            "weight_before", F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("bigint")
-        )
-    if not slices:
-        return placed
-    totals = df.where(in_hot_group(slices)).groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("rows__"),
-        F.sum(F.col(weight) if weight else F.lit(0)).alias("weight__"),
+    cut = in_parts(df, keys, order)
+    local = in_place(keys)
+    before = local.rowsBetween(Window.unboundedPreceding, -1)
+    weighed = F.col(weight) if weight else F.lit(0)
+    placed = cut.withColumns(
+        {
+            "position": F.row_number().over(local).cast("bigint"),
+            "weight_before": F.coalesce(F.sum(weighed).over(before), F.lit(0)).cast("bigint"),
+        }
+    )
+    totals = cut.groupBy(PART, *keys).agg(
+        F.count(F.lit(1)).alias("rows__"), F.sum(weighed).alias("weight__")
     )
-    # One row per slice; only rows after the first slice of a hot group stay,
-    # and their number is bounded by the limits.
-    earlier = ordered_window(keys, slices).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        totals.withColumn("rows_before__", F.sum("rows__").over(earlier))
-        .withColumn("weight_before__", F.sum("weight__").over(earlier))
-        .where(F.col("rows_before__") > 0)
-        .select(
-            *[F.col(g).alias(f"at_{g}") for g in groups], "rows_before__", "weight_before__"
-        )
+    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumns(
+        {"rows_handed__": F.sum("rows__").over(earlier), "weight_handed__": F.sum("weight__").over(earlier)}
     )
-    pairs = [(g, f"at_{g}") for g in groups]
-    joined = placed.join(F.broadcast(offsets), same_keys(placed, offsets, pairs), "left")
-    shifted = [
-        (F.col("position") + F.coalesce("rows_before__", F.lit(0))).alias("position")
-    ]
-    if weight is not None:
-        shifted.append(
-            (F.col("weight_before") + F.coalesce("weight_before__", F.lit(0))).alias(
-                "weight_before"
-            )
-        )
-    return joined.select(*columns, *shifted)
+    joined = handed_on(placed, totals.drop("rows__", "weight__"), keys, "rows_handed__")
+    shifted = {
+        name: (F.col(name) + F.coalesce(more, F.lit(0))).cast("bigint")
+        for name, more in (("position", "rows_handed__"), ("weight_before", "weight_handed__"))
+    }
+    names = [*df.columns, "position", *(["weight_before"] if weight else [])]
+    return joined.withColumns(shifted).select(*names)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.clock import CONSUMER_CLOCK, parsed, time_of_day
 from wayfare.functions.codec import as_messages, decode_json
 from wayfare.operators.collections import drop_repeats, latest_per_key
-from wayfare.operators.slicing import DEFAULT_LIMITS, By, Limits
+from wayfare.operators.slicing import By
 from wayfare.schemas import CLICK, CLICK_NARROW, USER_DEVICES
 
 
@@ -82,11 +82,9 @@ def latest_clicks(clicks: DataFrame, version: list[str]) -> DataFrame:
     return latest_per_key(clicks, ["userId"], version)
 
 
-def page_changes(
-    clicks: DataFrame, order: list[By], limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
+def page_changes(clicks: DataFrame, order: list[By]) -> DataFrame:
     """Clicks that lead a user to another page than the click before."""
-    return drop_repeats(clicks, ["userId"], "page", order, limits)
+    return drop_repeats(clicks, ["userId"], "page", order)
 
 
 def user_devices(messages: DataFrame, strict: bool = True) -> DataFrame:

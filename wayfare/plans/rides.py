@@ -20,7 +20,7 @@ from wayfare.functions.geo import (
     cell_centre_lon,
 )
 from wayfare.functions.text import joined
-from wayfare.operators.slicing import DEFAULT_LIMITS, By, Limits, with_positions
+from wayfare.operators.slicing import By, with_positions
 
 ALARM_AFTER = "2 hours"
 
@@ -144,15 +144,13 @@ def long_rides(rides: DataFrame, after: str = ALARM_AFTER) -> DataFrame:
     return late.select(*rides.columns)
 
 
-def event_log(
-    rides: DataFrame, limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
+def event_log(rides: DataFrame) -> DataFrame:
     """Number the ride events in log order: event time, START before END (batch)."""
     ordered = with_event_time(rides).withColumn(
         "is_end", F.when(F.col("is_start"), F.lit(0)).otherwise(F.lit(1))
     )
     order = [By("event_time"), By("is_end"), By("ride_id")]
-    return with_positions(ordered, [], order, limits=limits).drop("is_end")
+    return with_positions(ordered, [], order).drop("is_end")
 
 
 def pickup_heatmap(rides: DataFrame) -> DataFrame:

@@ -50,12 +50,13 @@ def long_names_sql(
     function: str = "strlen",
 ) -> DataFrame:
     """The same in SQL with a registered function for the length."""
+    # The length comes through a generator, so that the condition on it is not
+    # pushed below and the function called again there.
     return spark.sql(
         f"""
-        SELECT {borough}, {zone}, CAST({function}({zone}) AS BIGINT) AS name_length
-        FROM {view}
-        WHERE {borough} = :borough AND {borough} IS NOT NULL
-          AND {function}({zone}) > :longer_than
+        SELECT {borough}, {zone}, name_length
+        FROM {view} LATERAL VIEW explode(array(CAST({function}({zone}) AS BIGINT))) AS name_length
+        WHERE {borough} = :borough AND {borough} IS NOT NULL AND name_length > :longer_than
         """,
         args={"borough": borough_value, "longer_than": longer_than},
     )

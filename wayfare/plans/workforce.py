@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.operators.ranking import nth_distinct, with_rank
-from wayfare.operators.slicing import DEFAULT_LIMITS, By, Limits
+from wayfare.operators.ranking import nth_distinct, ranks_of_values, with_rank
+from wayfare.operators.slicing import By
+from wayfare.sources.tables import view as as_view
 
 
 def salary_rank(
@@ -13,26 +14,19 @@ def salary_rank(
     department: str = "department",
     salary: str = "salary",
     kind: str = "dense_rank",
-    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Rank by salary in the department, highest first, as column ``rank``."""
-    return with_rank(employees, [department], By(salary, desc=True), kind, "rank", limits)
+    return with_rank(employees, [department], By(salary, desc=True), kind, "rank")
 
 
 def salary_rank_sql(spark: SparkSession, view: str = "employee") -> DataFrame:
-    """Dense rank in SQL. The window runs over the distinct salaries only, and
-    the ranks are joined back; ``salary_rank`` also cuts departments with too
-    many distinct salaries."""
+    """Dense rank in SQL: the ranks of the distinct salaries are a view to join."""
+    levels = ranks_of_values(spark.table(view), ["department"], By("salary", desc=True))
     return spark.sql(
         f"""
-        WITH levels AS (
-          SELECT department, salary,
-                 CAST(dense_rank() OVER (PARTITION BY department ORDER BY salary DESC) AS BIGINT)
-                   AS rank
-          FROM (SELECT DISTINCT department, salary FROM {view})
-        )
         SELECT employee_name, e.department, e.salary, rank
-        FROM {view} e JOIN levels l ON e.department <=> l.department AND e.salary <=> l.salary
+        FROM {view} e JOIN {as_view(levels, view + "_levels")} l
+          ON e.department <=> l.department AND e.salary <=> l.salary
         """
     )
 
@@ -42,10 +36,9 @@ def nth_salary(
     n: int = 2,
     department: str = "department",
     salary: str = "salary",
-    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Employees who earn the n-th highest distinct salary of their department."""
-    return nth_distinct(employees, [department], By(salary, desc=True), n, limits)
+    return nth_distinct(employees, [department], By(salary, desc=True), n)
 
 
 def titles(

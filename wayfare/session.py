@@ -1,8 +1,9 @@
-"""Session settings, the shared scratch folder and size checks."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
@@ -60,23 +61,20 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def state_partitions(spark: SparkSession) -> dict[str, str]:
-    """Settings that keep a stateful stream to four state stores per core.
-
-    Each store is opened and committed in every micro-batch, and their number
-    stays that of the first run. A lower setting of the session is kept.
-    """
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    most = 4 * spark.sparkContext.defaultParallelism
-    return {"spark.sql.shuffle.partitions": str(min(wanted, most))}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests) is a local one used.
+    Where the session names none, one is made only if driver and executors are
+    one process; on a cluster that is an error, as each machine would write to
+    a disk of its own.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        named = _local_folder()
+    return named.rstrip("/")
 
 
 @functools.cache
@@ -84,9 +82,34 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="wayfare-")
 
 
+_paths: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("paths", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block what was written to the shared folder in it.
+
+    For a caller that has stored its results by then; without it the intermediate
+    tables stay until the folder is cleared.
+    """
+    made: list[str] = []
+    token = _paths.set(made)
+    try:
+        yield
+    finally:
+        _paths.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path of its own below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/wayfare/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/wayfare/{label}-{uuid.uuid4().hex}"
+    if (made := _paths.get()) is not None:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -99,14 +122,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's upper estimate of the size of ``df``; runs no job.
-
-    For files this comes from the file sizes. Where the planner knows nothing
-    the estimate is huge, so a caller that compares it with a limit errs on
-    the side of the plan for large data.
-    """
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))

@@ -33,14 +33,14 @@ def jdbc(
     table: str,
     mode: str = "overwrite",
     keep_definition: bool = False,
-    connections: int = 8,
+    *,
+    connections: int,
 ) -> None:
     """A database table. Overwriting drops and makes it anew, unless told to
-    keep its definition and only empty it. ``connections`` bounds how many
-    tasks write at once, and with them the last stage of ``df``: for results of
-    an aggregate."""
+    keep its definition and only empty it. ``connections`` tasks write at once;
+    the rows are dealt to them, so the work before keeps its own tasks."""
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .options(**connection.properties)
         .option("url", connection.url)

@@ -68,8 +68,9 @@ def read(
     return reader.load()
 
 
-EMPLOYEE_TITLES = """
-    select e.last_name, t.title
-    from employees e join titles t on e.emp_no = t.emp_no
-    order by e.last_name
-"""
+def joined_query(
+    left: str, right: str, key: str, columns: tuple[str, ...], order: str | None = None
+) -> str:
+    """A join of two tables on one key, for the database to run."""
+    sql = f"SELECT {', '.join(columns)} FROM {left} JOIN {right} USING ({key})"
+    return subquery(sql + (f" ORDER BY {order}" if order else ""))

@@ -57,7 +57,8 @@ DETAILS = [part.split()[0] for part in f"{PLACE}, {PARTY}".split(", ")]
 def combine_rides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row per ride and Arrow batch: its first START and its first END.
 
-    Rides that ended in time inside the batch are settled and go no further.
+    All rides go on, also those that ended in time inside the batch: the state
+    must hear of them, as a source may repeat their START later.
     """
     for batch in batches:
         starts = batch[batch["is_start"]].sort_values("event_us")
@@ -65,15 +66,18 @@ def combine_rides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ended = batch[~batch["is_start"]].groupby("ride_id")["event_us"].min()
         rides = starts[["event_us", *DETAILS]].join(ended.rename("end_us"), how="outer")
         rides = rides.rename(columns={"event_us": "start_us"}).reset_index()
-        settled = rides["end_us"] <= rides["start_us"] + ALARM_MICROS
-        rides = rides[~settled].convert_dtypes(convert_floating=False)
+        rides = rides.convert_dtypes(convert_floating=False)
         for name in ("start_us", "end_us", "passenger_cnt", "taxi_id", "driver_id"):
             rides[name] = rides[name].astype("Int64")
         yield rides[["ride_id", "start_us", "end_us", *DETAILS]]
 
 
 class LongRideAlarm(StatefulProcessor):
-    """Keeps the START or the END of a ride until the other one or the timer comes."""
+    """Keeps the first START and END of a ride until the START's deadline.
+
+    A ride that ended in time is kept as well, so that a repeated event finds
+    it. A START whose deadline the watermark has passed is late and ignored.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -83,30 +87,28 @@ class LongRideAlarm(StatefulProcessor):
         held = self.ride.get() if self.ride.exists() else None
         start, end, details = (held[0], held[1], held[2:]) if held else (None, None, None)
         timer = _timer(start, end)
+        late = timerValues.getCurrentWatermarkInMs() * 1000
         for part in rows:
+            # One row per ride and Arrow batch.
             for row in part.itertuples(index=False):
-                if not pd.isna(row.start_us) and (start is None or row.start_us < start):
+                if not pd.isna(row.start_us) and row.start_us >= late and (start is None or row.start_us < start):
                     start = int(row.start_us)
                     details = tuple(getattr(row, name) for name in DETAILS)
                 if not pd.isna(row.end_us) and (end is None or row.end_us < end):
                     end = int(row.end_us)
         if timer is not None:
             self.handle.deleteTimer(timer)
-        if start is not None and end is not None:
-            self.ride.clear()
-            if end > start + ALARM_MICROS:
-                yield _alarm(key, start, details)
-            return
-        if details is None:
-            details = (None,) * len(DETAILS)
-        self.ride.update((start, end, *_plain(details)))
-        self.handle.registerTimer(_timer(start, end))
+        if start is not None or end is not None:
+            details = (None,) * len(DETAILS) if details is None else details
+            self.ride.update((start, end, *_plain(details)))
+            self.handle.registerTimer(_timer(start, end))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.ride.exists():
-            start, _, *details = self.ride.get()
+            start, end, *details = self.ride.get()
             self.ride.clear()
-            if start is not None:
+            if start is not None and (end is None or end > start + ALARM_MICROS):
                 yield _alarm(key, start, details)
 
     def close(self) -> None:

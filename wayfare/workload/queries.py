@@ -12,12 +12,12 @@ from wayfare.functions.codec import decode_transactions, split_json
 from wayfare.functions.text import register_strlen
 from wayfare.operators import joins
 from wayfare.operators.collections import records_from_pairs
-from wayfare.operators.slicing import By, Limits
+from wayfare.operators.slicing import By
 from wayfare.plans import clicks as click_plans
 from wayfare.plans import marts, selection, spend, workforce
 from wayfare.plans import rides as ride_plans
 from wayfare.schemas import CLICK
-from wayfare.session import ROCKSDB_STATE, scratch_path, settings, state_partitions, written
+from wayfare.session import ROCKSDB_STATE, scratch_path, settings, written
 from wayfare.sinks.keyed import KeyedTable
 from wayfare.sinks.streams import ONCE, to_keyed_table, to_parquet
 from wayfare.sources import files
@@ -29,9 +29,12 @@ from wayfare.workload.inputs import naive, read, stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Cuts groups at any size of input, so that the plan for hot groups is the one
-# that is checked.
-SLICED = Limits(small_input_bytes=0, rows_per_slice=500)
+
+# So many parts that every large group is cut, also on small tables.
+MANY_PARTS = {
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 
 def query(function: Query) -> Query:
@@ -54,8 +57,7 @@ def ddl(df: DataFrame) -> str:
 def appended(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Run an append stream over what is there and read its output."""
     place = scratch_path(spark, "stream")
-    with settings(spark, state_partitions(spark)):
-        to_parquet(df, f"{place}/out", f"{place}/checkpoint", ONCE).awaitTermination()
+    to_parquet(df, f"{place}/out", f"{place}/checkpoint", ONCE).awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{place}/out")
 
 
@@ -69,8 +71,7 @@ def upserted(
     """Run a stream into a keyed table and read the table."""
     place = scratch_path(spark, "stream")
     table = KeyedTable(f"{place}/table", ddl(df), keys, version)
-    with settings(spark, state_partitions(spark)):
-        to_keyed_table(df, table, f"{place}/checkpoint", mode, ONCE).awaitTermination()
+    to_keyed_table(df, table, f"{place}/checkpoint", mode, ONCE).awaitTermination()
     return table.current(spark)
 
 
@@ -91,10 +92,9 @@ def borough_popularity(spark, folder):
 
 @query
 def borough_popularity_large_zones(spark, folder):
-    # As with zones too many to send to every task.
     return marts.borough_popularity(
         _orders(spark, folder), read(spark, folder, "customer"),
-        "o_custkey", "c_custkey", "c_mktsegment", broadcast_bytes=0,
+        "o_custkey", "c_custkey", "c_mktsegment",
     )
 
 
@@ -102,7 +102,7 @@ def borough_popularity_large_zones(spark, folder):
 def distance_by_borough_large_zones(spark, folder):
     return marts.distance_by_borough(
         _orders(spark, folder), read(spark, folder, "customer"),
-        "o_custkey", "c_custkey", "c_mktsegment", "o_totalprice", "left", 0,
+        "o_custkey", "c_custkey", "c_mktsegment", "o_totalprice", "left",
     )
 
 
@@ -237,10 +237,10 @@ def dense_rank_salary_sql(spark, folder):
 
 @query
 def dense_rank_salary_sliced(spark, folder):
-    # Ranks by the exact balance: thousands of distinct values per segment.
+    # By the exact balance, thousands of values per segment, cut into many parts.
     customers = read(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    limits = Limits(small_input_bytes=0, rows_per_slice=100)
-    return workforce.salary_rank(customers, "c_mktsegment", "c_acctbal", limits=limits)
+    with settings(spark, MANY_PARTS):
+        return workforce.salary_rank(customers, "c_mktsegment", "c_acctbal")
 
 
 @query
@@ -250,7 +250,8 @@ def rank_salary(spark, folder):
 
 @query
 def rank_salary_sliced(spark, folder):
-    return workforce.salary_rank(_employees(spark, folder), kind="rank", limits=SLICED)
+    with settings(spark, MANY_PARTS):
+        return rank_salary(spark, folder)
 
 
 @query
@@ -260,7 +261,8 @@ def second_highest(spark, folder):
 
 @query
 def second_highest_sliced(spark, folder):
-    return workforce.nth_salary(_employees(spark, folder), 2, limits=SLICED)
+    with settings(spark, MANY_PARTS):
+        return second_highest(spark, folder)
 
 
 @query
@@ -424,20 +426,17 @@ def narrow_click_upsert(spark, folder):
     return naive(table.select("timestamp", "page"), "timestamp")
 
 
-def _page_changes(spark: SparkSession, folder: str, limits: Limits) -> DataFrame:
-    clicks = _clicks(spark, folder).select("event_id", "userId", "page", "event_time")
-    order = [By("event_time"), By("event_id")]
-    return naive(click_plans.page_changes(clicks, order, limits), "event_time")
-
-
 @query
 def consecutive_dedup(spark, folder):
-    return _page_changes(spark, folder, Limits())
+    clicks = _clicks(spark, folder).select("event_id", "userId", "page", "event_time")
+    order = [By("event_time"), By("event_id")]
+    return naive(click_plans.page_changes(clicks, order), "event_time")
 
 
 @query
 def consecutive_dedup_sliced(spark, folder):
-    return _page_changes(spark, folder, Limits(small_input_bytes=0, rows_per_slice=20))
+    with settings(spark, MANY_PARTS):
+        return consecutive_dedup(spark, folder)
 
 
 @query
@@ -516,19 +515,16 @@ def long_rides_stateful(spark, folder):
         return _plain(appended(found, spark))
 
 
-def _event_log(spark: SparkSession, folder: str, limits: Limits) -> DataFrame:
-    log = ride_plans.event_log(_rides(spark, folder), limits)
-    return naive(log.select("position", "event_time", "is_start", "ride_id"), "event_time")
-
-
 @query
 def event_log_order(spark, folder):
-    return _event_log(spark, folder, Limits())
+    log = ride_plans.event_log(_rides(spark, folder))
+    return naive(log.select("position", "event_time", "is_start", "ride_id"), "event_time")
 
 
 @query
 def event_log_order_sliced(spark, folder):
-    return _event_log(spark, folder, SLICED)
+    with settings(spark, MANY_PARTS):
+        return event_log_order(spark, folder)
 
 
 @query
