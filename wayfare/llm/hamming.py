@@ -67,7 +67,7 @@ def search(
     code: str,
     k: int,
     words: int = 1,
-    bits: int = 16,
+    bits: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest rows of ``index`` for each row of ``queries``, exactly.
 
@@ -75,7 +75,8 @@ def search(
     row's key) and ``distance``, ordered by distance, then key. A query that is
     itself in the index finds itself.
 
-    Codes are cut into segments of ``bits`` bits; two codes within distance
+    Codes are cut into segments of ``bits`` bits (by default 8 or 16, whichever is
+    nearer to the logarithm of the number of codes); two codes within distance
     ``m * (r + 1) - 1`` agree up to ``r`` bits in one of ``m`` segments at least. In
     round ``r`` the values at ``r`` bits from a query's segments are looked up by an
     equi-join and what is found is measured in full. A query is done when its
@@ -87,16 +88,18 @@ def search(
     null code are not found and find nothing; fewer than ``k`` rows give as
     many results; repeated keys are results of their own. Null keys come first.
     """
-    if WORD % bits:
-        raise ValueError("segments must fill a word")
-    m = words * (WORD // bits)
     rows = index.where(F.col(code).isNotNull()).select(F.col(code).alias("code"), F.col(key).alias("id"))
     by_key = Window.partitionBy("code").orderBy(F.col("id").asc_nulls_first())
     ids = written(rows.withColumn("nth", F.row_number().over(by_key)).where(F.col("nth") <= k), "code-ids")
+    held = ids.count()
+    if bits is None:
+        bits = 16 if held >= 1 << 12 else 8
+    if WORD % bits or bits > 16:
+        raise ValueError("segments must fill a word and have 16 bits at most")
+    m = words * (WORD // bits)
     codes = ids.groupBy("code").agg(F.max("nth").alias("copies"), F.min("id").alias("least"))
     codes = codes.withColumn("at", F.explode(segments(F.col("code"), words, bits)))
     table = written(codes.select("code", "copies", "least", "at.*"), "code-index")
-    held = ids.count()
     need = min(k, held)
     asked = queries.where(F.col(code).isNotNull()).select(F.col(code).alias("asked"), F.col(key).alias("query"))
     # What is still searched: a query's code and its best distance so far.
@@ -112,7 +115,9 @@ def search(
             "asked", "bound", "at.segment", F.col("at.value").bitwiseXOR(F.col("flip")).alias("value")
         )
         met = (
-            flipped.join(table, ["segment", "value"])
+            # The planner cannot know how much the flips multiply the probes, so
+            # it must not take them for small and broadcast them.
+            flipped.hint("merge").join(table, ["segment", "value"])
             .withColumn("distance", distance(F.col("asked"), F.col("code"), words))
             .where("distance <= bound")
             .groupBy("asked", "code")
