@@ -40,12 +40,18 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("block,long", [(50, 20), (4_000_000, 512), (4_000_000, 100_000)])
-def test_against_the_tokenizer(spark, ranks, reference, block, long):
+@pytest.mark.parametrize("block,long,known", [(50, 20, 0), (50, 512, 9), (4_000_000, 100_000, 1000)])
+def test_against_the_tokenizer(spark, ranks, reference, block, long, known):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(4, TEXTS[4]), (None, "null key")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("words", F.lit("extra"))
     coded = bpe.encode(
-        docs.coalesce(1), ranks, public_tokenizers.PATTERN, keep=("doc_id", "words"), block_chars=block, long_word=long
+        docs.coalesce(1),
+        ranks,
+        public_tokenizers.PATTERN,
+        keep=("doc_id", "words"),
+        block_chars=block,
+        long_word=long,
+        most_known=known,
     )
     got = coded.select("doc_id", "words", "ids", bpe.decode(F.col("ids"), ranks)).collect()
     want = sorted(((k, reference.encode_ordinary(t or ""), (t or "").encode()) for k, t in rows), key=repr)
@@ -93,6 +99,13 @@ def test_no_shuffle_and_empty(spark, ranks, plan):
     assert "Exchange" not in plan(bpe.encode(spark.range(5).selectExpr("id AS doc_id", "'t' AS text"), ranks, public_tokenizers.PATTERN))
 
 
+def test_known_words_are_bounded_and_repeat(spark):
+    docs = spark.createDataFrame([("a b c",), ("a b d",), ("a e f",)], "text string").coalesce(1)
+    for most, want in ((10, {"a", " b"}), (1, {"a"}), (0, set())):
+        found = bpe.repeated_words(docs, "text", public_tokenizers.PATTERN, 1, 512, most)
+        assert {r.word for r in found.collect()} == want
+
+
 def test_refuses_gaps(tmp_path):
     path = tmp_path / "ranks"
     path.write_bytes(b"YQ== 0\nYg== 2\n")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.llm.common import let
+from wayfare.session import written
 
 
 @dataclass(frozen=True)
@@ -180,71 +181,146 @@ def merged_by_heap(ids: Sequence[int], merges: dict[tuple[int, int], int]) -> li
 # --- documents in blocks ---------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Words:
+    """Words with their merges done; a table of ``words`` and ``ids`` as Arrow bytes."""
+
+    table: bytes
+
+    @cached_property
+    def ids(self) -> dict[str, list[int]]:
+        table = pa.ipc.open_stream(self.table).read_all()
+        return dict(zip(table["words"].to_pylist(), table["ids"].to_pylist()))
+
+
+def _byte_lists(words: Sequence[bytes], ranks: Ranks) -> pa.Array:
+    flat = ranks.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+    offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """An array of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def repeated_words(
+    docs: DataFrame, text: str, pattern: str, size: int, long: int, most: int
+) -> DataFrame:
+    """Words that occur in two blocks of documents or more, ``most`` of them at most.
+
+    Those in most blocks, by steps of a quarter power of two. All words of all documents
+    are counted; each task sends a word once per block.
+    """
+    find = regex.compile(pattern).finditer
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        held = 0
+        for batch in batches:
+            for said in batch["bpe__text"]:
+                said = said.as_py() or ""
+                seen.update(m[0] for m in find(said))
+                held += len(said)
+                if held >= size:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+                    seen, held = set(), 0
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+
+    words = docs.select(F.col(text).alias("bpe__text")).mapInArrow(rows, "word string")
+    step = F.floor(F.log2("n") * 4).cast("int")
+    counts = words.where(F.octet_length("word") <= long).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.where("n > 1").select("word", step.alias("step")), "bpe-words")
+    chosen, total = None, 0
+    # At most a few hundred steps exist.
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        chosen = row["step"]
+    return counts.where(F.lit(False) if chosen is None else F.col("step") >= chosen).select("word")
+
+
+def merged_words(words: DataFrame, ranks: Ranks, found: RankMap) -> Words:
+    """Fold each of the words once; the result is for all tasks, so bound their number."""
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = batch["word"].cast(pa.string())
+            starts = _byte_lists([w.as_py().encode() for w in said], ranks)
+            yield pa.RecordBatch.from_arrays([_one(said), _one(starts)], names=["words", "starts"])
+
+    lists = words.mapInArrow(grouped, "words array<string>, starts array<array<int>>")
+    folded = lists.select(
+        "words",
+        found.bound(lambda arrays: F.transform("starts", lambda w: folded_merges(w, arrays))).alias("ids"),
+    )
+    got = folded.toArrow()
+    flat = pa.table({name: pa.chunked_array([c.flatten() for c in got[name].chunks], got[name].type.value_type) for name in got.column_names})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, flat.schema) as writer:
+        writer.write_table(flat)
+    return Words(sink.getvalue().to_pybytes())
+
+
 def blocks(
-    docs: DataFrame, text: str, keep: Sequence[str], ranks: Ranks, pattern: str, size: int, long: int
+    docs: DataFrame,
+    text: str,
+    keep: Sequence[str],
+    ranks: Ranks,
+    pattern: str,
+    known: Words,
+    size: int,
+    long: int,
 ) -> DataFrame:
     """One row per block of documents of about ``size`` characters.
 
     ``words`` has the distinct words of the block as arrays of byte ids, and
     ``docs`` each document's kept columns with its words as places in that array.
     A block is never larger than an Arrow batch; one long document is a block of
-    its own. Words above ``long`` bytes, and words that are pieces, come with their merges done.
+    its own. Known words, words above ``long`` bytes and words that are pieces
+    come with their merges done, in ``merged``.
     """
     find = regex.compile(pattern).findall
     kept = [docs.schema[name] for name in keep]
-    schema = T.StructType(
-        [
-            T.StructField("words", T.ArrayType(T.ArrayType(T.IntegerType()))),
-            T.StructField("merged", T.ArrayType(T.ArrayType(T.IntegerType()))),
-            T.StructField(
-                "docs",
-                T.ArrayType(T.StructType([*kept, T.StructField("bpe__words", T.ArrayType(T.IntegerType()))])),
-            ),
-        ]
-    )
-
-    def lists(words: list[bytes]) -> pa.Array:
-        flat = ranks.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-    def block(rows: pa.RecordBatch, texts: list[list[str]]) -> pa.RecordBatch:
-        places: dict[str, int] = {}
-        used = [np.array([places.setdefault(w, len(places)) for w in ws], dtype=np.int32) for ws in texts]
-        words = [w.encode() for w in places]
-        merged = [
-            merged_by_heap(ranks.byte_ids[np.frombuffer(w, dtype=np.uint8)].tolist(), ranks.merges)
-            if len(w) > long
-            else whole
-            for w in words
-            # A word that is a piece is its own and only token.
-            for whole in [[ranks.rank[w]] if w in ranks.rank else None]
-        ]
-        words = [b"" if m is not None else w for w, m in zip(words, merged)]
+    ids, idss = T.ArrayType(T.IntegerType()), T.ArrayType(T.ArrayType(T.IntegerType()))
+    of_doc = T.StructType([*kept, T.StructField("bpe__words", ids)])
+    schema = T.StructType().add("words", idss).add("merged", idss).add("docs", T.ArrayType(of_doc))
+
+    def merged(word: str) -> list[int] | None:
+        if (ids := known.ids.get(word)) is not None:
+            return ids
+        data = word.encode()
+        if (whole := ranks.rank.get(data)) is not None:
+            return [whole]
+        if len(data) > long:
+            return merged_by_heap(ranks.byte_ids[np.frombuffer(data, dtype=np.uint8)].tolist(), ranks.merges)
+        return None
+
+    def block(rows: pa.RecordBatch, used: list[np.ndarray], places: dict[str, int]) -> pa.RecordBatch:
+        done = [merged(w) for w in places]
+        starts = _byte_lists([b"" if m is not None else w.encode() for w, m in zip(places, done)], ranks)
         offsets = np.concatenate(([0], np.cumsum([len(u) for u in used]))).astype(np.int32)
         flat = np.concatenate(used) if used else np.zeros(0, np.int32)
-        of_doc = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-        names = [*[f.name for f in kept], "bpe__words"]
-        whole = pa.StructArray.from_arrays([*[rows[name] for name in names[:-1]], of_doc], names=names)
-
-        def one(values: pa.Array) -> pa.Array:
-            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-        merged_lists = pa.array(merged, pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([one(lists(words)), one(merged_lists), one(whole)], names=["words", "merged", "docs"])
+        placed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+        names = [f.name for f in of_doc]
+        whole = pa.StructArray.from_arrays([*[rows[name] for name in keep], placed], names=names)
+        arrays = [_one(starts), _one(pa.array(done, pa.list_(pa.int32()))), _one(whole)]
+        return pa.RecordBatch.from_arrays(arrays, names=["words", "merged", "docs"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts: list[list[str]] = []
+            used: list[np.ndarray] = []
+            places: dict[str, int] = {}
             start, held = 0, 0
-            column = batch["bpe__text"]
-            for k in range(batch.num_rows):
-                said = column[k].as_py() or ""
-                texts.append(find(said))
+            for k, said in enumerate(batch["bpe__text"]):
+                said = said.as_py() or ""
+                used.append(np.array([places.setdefault(w, len(places)) for w in find(said)], dtype=np.int32))
                 held += len(said)
                 if held >= size or k == batch.num_rows - 1:
-                    yield block(batch.slice(start, k + 1 - start), texts)
-                    texts, start, held = [], k + 1, 0
+                    yield block(batch.slice(start, k + 1 - start), used, places)
+                    used, places, start, held = [], {}, k + 1, 0
 
     rows = docs.select(*[F.col(name) for name in keep], F.col(text).alias("bpe__text"))
     return rows.mapInArrow(cut, schema)
@@ -259,20 +335,25 @@ def encode(
     into: str = "ids",
     block_chars: int = 16_000_000,
     long_word: int = 512,
+    most_known: int = 1 << 19,
 ) -> DataFrame:
     """The kept columns and ``into``, the ids of each whole text.
 
     ``pattern`` cuts the text into words and is expected to match all of it; the
-    bytes of each word are merged by rank. No shuffle: documents are taken in
-    blocks within their task, each distinct word of a block is folded once in
-    the JVM, and documents are put together from the results. Memory is that
-    of a block. Null texts are empty and have no ids; repeated rows stay.
-    Columns not kept are dropped; a kept column named ``into`` is an error.
-    Empty input gives no rows.
+    bytes of each word are merged by rank. Words found in several blocks of documents,
+    ``most_known`` of them at most, are folded once and given to all tasks. Then
+    documents are taken in blocks within their task, each other distinct word of a
+    block is folded there, and documents are put together from the results. No
+    text is shuffled. Memory is that of a block and of the known words.
+
+    Null texts are empty and have no ids; repeated rows stay. Columns not kept
+    are dropped; a kept column named ``into`` is an error. Empty input gives no rows.
     """
     if into in keep:
         raise ValueError(f"{into} is also a kept column")
     found = RankMap(ranks.merges, len(ranks.pieces))
+    frequent = repeated_words(docs, text, pattern, block_chars, long_word, most_known)
+    known = merged_words(frequent, ranks, found)
 
     def assembled(word_ids: Column) -> Column:
         return F.transform(
@@ -288,7 +369,7 @@ def encode(
             "words", lambda w, k: F.coalesce(F.get("merged", k), folded_merges(w, arrays))
         )
 
-    whole = blocks(docs, text, keep, ranks, pattern, block_chars, long_word)
+    whole = blocks(docs, text, keep, ranks, pattern, known, block_chars, long_word)
     return whole.select(F.inline(let(found.bound(of_words), assembled)))
 
 
