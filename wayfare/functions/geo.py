@@ -6,6 +6,8 @@ afterwards, as the results to match do.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ DEGREE_KM = 110.25
 # How near to a corner of a cell (in cells) a path may pass and still count as
 # going through the corner.
 CORNER = 0.05
+# Added to the run of a way; without it some ways that meet a corner get another cell.
+RUN_EXTRA = 1e-8
 
 
 def in_city(lon: Column, lat: Column) -> Column:
@@ -86,10 +90,18 @@ def direction_degrees(
 
 
 def route_cells(
-    df: DataFrame, lon1: str, lat1: str, lon2: str, lat2: str, name: str = "cell"
+    df: DataFrame,
+    lon1: str,
+    lat1: str,
+    lon2: str,
+    lat2: str,
+    name: str = "cell",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per grid cell on the straight way between two points in the city.
 
+    Each row has the columns to ``keep`` (by default all of ``df``) and the cell.
+
     The way runs west to east from cell to cell. In each column it covers the
     rows between where the line enters and where it leaves, and it goes to the
     diagonal neighbour where it passes within ``CORNER`` of a corner. Points
@@ -98,8 +110,9 @@ def route_cells(
     inside = df.where(
         in_city(F.col(lon1), F.col(lat1)) & in_city(F.col(lon2), F.col(lat2))
     )
+    keep = df.columns if keep is None else list(keep)
     ends = inside.select(
-        *df.columns,
+        *keep,
         grid_x(F.col(lon1)).alias("x1__"),
         grid_y(F.col(lat1)).alias("y1__"),
         grid_x(F.col(lon2)).alias("x2__"),
@@ -110,7 +123,7 @@ def route_cells(
         F.col("y1__") - F.col("y2__")
     )
     line = ends.select(
-        *df.columns,
+        *keep,
         F.least("x1__", "x2__").alias("x__"),
         F.when(forward, F.col("y1__")).otherwise(F.col("y2__")).alias("y__"),
         F.abs(F.col("x2__") - F.col("x1__")).alias("run__"),
@@ -122,8 +135,8 @@ def route_cells(
     def height(i: Column) -> Column:
         # Height of the line at the right edge of column i, above the lower
         # edge of the first cell, in cells.
-        # Only asked for where there is a next column, so the run is not 0.
-        return (i + F.lit(0.5)) * F.try_divide("rise__", "run__") - F.lit(0.5)
+        slope = F.col("rise__") / (F.col("run__") + F.lit(RUN_EXTRA))
+        return (i + F.lit(0.5)) * slope - F.lit(0.5)
 
     entered = F.when(
         F.col("i__") > 0,
@@ -134,9 +147,9 @@ def route_cells(
         F.floor(height(F.col("i__")) - F.lit(CORNER)).cast("int") + 1,
     ).otherwise(F.col("rise__"))
     spans = columns.select(
-        *df.columns, "x__", "y__", "turn__", "i__",
+        *keep, "x__", "y__", "turn__", "i__",
         entered.alias("from__"), F.greatest(entered, left).alias("to__"),
     )
     steps = spans.withColumn("k__", F.explode(F.sequence("from__", "to__")))
     cell = F.col("x__") + F.col("i__") + (F.col("y__") + F.col("turn__") * F.col("k__")) * GRID_WIDTH
-    return steps.select(*df.columns, cell.alias(name))
+    return steps.select(*keep, cell.alias(name))

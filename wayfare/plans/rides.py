@@ -174,7 +174,7 @@ def route_coverage(rides: DataFrame) -> DataFrame:
     """Rides per grid cell they pass on the straight way from start to end."""
     ends = start_events(rides).select("start_lon", "start_lat", "end_lon", "end_lat")
     return (
-        route_cells(ends, "start_lon", "start_lat", "end_lon", "end_lat")
+        route_cells(ends, "start_lon", "start_lat", "end_lon", "end_lat", keep=[])
         .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("rides"))
     )

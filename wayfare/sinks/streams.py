@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from wayfare.sinks.keyed import KeyedTable
@@ -86,10 +87,28 @@ def to_topic(
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped so far because they were behind the watermark."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop behind the watermark.
+
+    Register it with ``spark.streams.addListener`` before the queries start. It hears of
+    every batch, whereas a query itself remembers its last reports only.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+
+    def of(self, query: StreamingQuery) -> int:
+        """Rows dropped so far; the last batch may take a moment to be reported."""
+        return self._dropped[str(query.runId)]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._dropped[str(progress.runId)] += sum(
+            operator.numRowsDroppedByWatermark for operator in progress.stateOperators
+        )
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -1,17 +1,20 @@
 """The test tables in the shapes of the reports' inputs.
 
 The tables hold no rides or clicks, so ``events`` stands in: each event is a
-ride by its user, or a click. Nothing here filters rows; it only renames and
-derives columns.
+ride by its user, or a click. All rows are used; but a ride of an error has no
+END and an attribute without a value no row.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.clock import CONSUMER_CLOCK
 from wayfare.functions.codec import encode_transaction
+from wayfare.session import scratch_path
 from wayfare.sources.files import file_stream, parquet
 
 EVENTS = """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
@@ -27,10 +30,31 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream of one batch."""
     # As a pattern the path may be one file or a folder of files.
     return file_stream(spark, f"{folder}/{name}.parque[t]", SCHEMAS[name])
 
 
+def in_turn(rows: DataFrame, at: Column, batches: int = 3, files: int = 2) -> DataFrame:
+    """``rows`` as a stream that brings them in several batches, in order of ``at``.
+
+    They are cut at quantiles of the time and written one range after the other,
+    each into a few files that make up a batch.
+    """
+    spark = rows.sparkSession
+    place = scratch_path(spark, "turns")
+    micros = F.unix_micros(at.cast("timestamp"))
+    shares = [n / batches for n in range(1, batches)]
+    cuts = rows.select(F.percentile_approx(micros, shares)).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in itertools.pairwise(bounds):
+        after = F.lit(True) if low is None else micros > low
+        until = F.lit(True) if high is None else micros <= high
+        rows.where(after & until).repartition(files).write.mode("append").parquet(place)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return file_stream(spark, place, schema, files)
+
+
 def naive(df: DataFrame, *columns: str) -> DataFrame:
     """The given timestamps without a zone, for comparison."""
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in columns})

@@ -289,6 +289,8 @@ ORACLE: dict[str, str] = {
     "trips_per_hour": HOURS,
     "trips_per_hour_from_text": HOURS,
     "trips_per_hour_text": f"SELECT hour || ' ' || trips AS value FROM ({HOURS})",
+    "trips_per_hour_text_file": f"SELECT hour || ' ' || trips AS value FROM ({HOURS})",
+    "borough_popularity_file": POPULARITY,
     "busiest_hour_top1": f"SELECT * FROM ({HOURS}) ORDER BY trips DESC, hour LIMIT 1",
     "top_n": """
         SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 3
@@ -332,6 +334,13 @@ ORACLE: dict[str, str] = {
     """,
     "zone_counts_text_scan": ZONE_COUNTS.format(segment="""'"' || c_mktsegment || '"'"""),
     "csv_string_schema": ZONE_COUNTS.format(segment="c_mktsegment"),
+    "csv_inferred_schema": """
+        SELECT CAST(c_custkey AS INT) AS "LocationID", c_mktsegment AS "Borough",
+               c_name AS "Zone",
+               CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) ELSE c_mktsegment END
+                 AS service_zone
+        FROM customer
+    """,
     "csv_typed_schema": """
         SELECT CAST(c_custkey AS INT) AS "LocationID", c_mktsegment AS "Borough",
                c_name AS "Zone",

@@ -18,13 +18,14 @@ from wayfare.plans import marts, selection, spend, workforce
 from wayfare.plans import rides as ride_plans
 from wayfare.schemas import CLICK
 from wayfare.session import ROCKSDB_STATE, scratch_path, settings, written
+from wayfare.sinks import files as sink
 from wayfare.sinks.keyed import KeyedTable
 from wayfare.sinks.streams import ONCE, to_keyed_table, to_parquet
 from wayfare.sources import files
 from wayfare.sources.tables import view
 from wayfare.streaming import alarms, averages, time
 from wayfare.workload import inputs
-from wayfare.workload.inputs import naive, read, stream
+from wayfare.workload.inputs import in_turn, naive, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,6 +161,20 @@ def trips_per_hour_text(spark, folder):
     return marts.hour_lines(marts.trips_per_hour(read(spark, folder, "events"), "ts"))
 
 
+@query
+def trips_per_hour_text_file(spark, folder):
+    path = scratch_path(spark, "lines")
+    sink.text(trips_per_hour_text(spark, folder), path)
+    return spark.read.text(path)
+
+
+@query
+def borough_popularity_file(spark, folder):
+    path = scratch_path(spark, "mart")
+    sink.parquet(borough_popularity(spark, folder), path, files=1)
+    return files.parquet(spark, path)
+
+
 @query
 def busiest_hour_top1(spark, folder):
     hours = marts.trips_per_hour(read(spark, folder, "events"), "ts")
@@ -310,6 +325,11 @@ def csv_typed_schema(spark, folder):
     return files.csv(spark, _zone_file(spark, folder))
 
 
+@query
+def csv_inferred_schema(spark, folder):
+    return files.csv_inferred(spark, _zone_file(spark, folder))
+
+
 @query
 def csv_string_schema(spark, folder):
     zones = files.csv_strings(spark, _zone_file(spark, folder))
@@ -327,8 +347,12 @@ def _clicks(spark: SparkSession, folder: str) -> DataFrame:
     return click_plans.clicks(_messages(spark, folder), keep=("event_id",))
 
 
+def _events_in_turn(spark: SparkSession, folder: str) -> DataFrame:
+    return in_turn(read(spark, folder, "events"), F.col("ts"))
+
+
 def _click_stream(spark: SparkSession, folder: str) -> DataFrame:
-    messages = inputs.click_messages(stream(spark, folder, "events"))
+    messages = inputs.click_messages(_events_in_turn(spark, folder))
     return click_plans.clicks(messages, keep=("event_id",))
 
 
@@ -339,7 +363,7 @@ def clicks_decoded(spark, folder):
 
 @query
 def clicks_decoded_stream(spark, folder):
-    messages = inputs.click_messages(stream(spark, folder, "events"))
+    messages = inputs.click_messages(_events_in_turn(spark, folder))
     return appended(click_plans.click_times(messages), spark)
 
 
@@ -453,7 +477,8 @@ def _rides(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ride_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.rides(stream(spark, folder, "events"))
+    rides = inputs.rides(read(spark, folder, "events"))
+    return in_turn(rides, F.when(F.col("is_start"), F.col("start_time")).otherwise(F.col("end_time")))
 
 
 def _plain(rides: DataFrame) -> DataFrame:
@@ -478,7 +503,7 @@ def hourly_fare_per_driver(spark, folder):
 
 @query
 def hourly_fare_per_driver_stream(spark, folder):
-    fares = time.timed_fares(inputs.fares(stream(spark, folder, "events")))
+    fares = time.timed_fares(inputs.fares(_events_in_turn(spark, folder)))
     sums = upserted(spend.hourly_fares(fares, scale=2), spark, ["window_end", "driver_id"])
     return naive(sums, "window_end")
 
@@ -493,7 +518,7 @@ def rides_join_fares(spark, folder):
 @query
 def rides_join_fares_stream(spark, folder):
     rides = time.timed_rides(_ride_stream(spark, folder))
-    fares = time.timed_fares(inputs.fares(stream(spark, folder, "events")))
+    fares = time.timed_fares(inputs.fares(_events_in_turn(spark, folder)))
     pairs = ride_plans.rides_with_fares(rides, fares, ride_time="event_time")
     return naive(appended(pairs, spark), "window_end")
 
@@ -603,7 +628,8 @@ def mean_spend(spark, folder):
 
 @query
 def spend_report_upsert(spark, folder):
-    messages = inputs.transaction_messages(stream(spark, folder, "orders"))
+    orders = in_turn(_orders(spark, folder), F.col("o_orderdate"))
+    messages = inputs.transaction_messages(orders)
     transactions = decode_transactions(messages, keep=["o_orderkey"]).select(
         "account_id", F.col("ts").alias("log_ts"), F.col("amount").cast("bigint").alias("amount"),
         "o_orderkey",
