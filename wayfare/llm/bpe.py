@@ -188,9 +188,18 @@ class Words:
     table: bytes
 
     @cached_property
-    def ids(self) -> dict[str, list[int]]:
-        table = pa.ipc.open_stream(self.table).read_all()
-        return dict(zip(table["words"].to_pylist(), table["ids"].to_pylist()))
+    def _open(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        table = pa.ipc.open_stream(self.table).read_all().combine_chunks()
+        if not table.num_rows:
+            return {}, np.zeros(1, np.int32), np.zeros(0, np.int32)
+        lists = table["ids"].chunk(0)
+        places = {word: k for k, word in enumerate(table["words"].to_pylist())}
+        return places, lists.offsets.to_numpy(), lists.values.to_numpy()
+
+    def ids(self, word: str) -> list[int] | None:
+        places, offsets, flat = self._open
+        k = places.get(word)
+        return None if k is None else flat[offsets[k] : offsets[k + 1]].tolist()
 
 
 def _byte_lists(words: Sequence[bytes], ranks: Ranks) -> pa.Array:
@@ -289,7 +298,7 @@ def blocks(
     schema = T.StructType().add("words", idss).add("merged", idss).add("docs", T.ArrayType(of_doc))
 
     def merged(word: str) -> list[int] | None:
-        if (ids := known.ids.get(word)) is not None:
+        if (ids := known.ids(word)) is not None:
             return ids
         data = word.encode()
         if (whole := ranks.rank.get(data)) is not None:
@@ -333,9 +342,9 @@ def encode(
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
     into: str = "ids",
-    block_chars: int = 16_000_000,
+    block_chars: int = 8_000_000,
     long_word: int = 512,
-    most_known: int = 1 << 19,
+    most_known: int = 1 << 18,
 ) -> DataFrame:
     """The kept columns and ``into``, the ids of each whole text.
 
