@@ -91,6 +91,32 @@ def test_odds_follow_weights(spark):
     assert 0.35 < light / heavy < 0.65
 
 
+@pytest.mark.parametrize(("short", "rate"), [(300, 3), (500, 2.7), (900, 2.95)])
+def test_light_documents_take_what_heavy_ones_cannot(spark, short, rate):
+    """A source at or near three times its size, some of it in documents of half the odds."""
+    few = [(k, "a", 10, 0.5 if 10 * k < short else 1.0) for k in range(100)]
+    other = round(1000 * (2 * rate - 1)) if rate < 3 else 9000
+    docs = documents(spark, few + [(1000 + k, "b", other // 100, 1.0) for k in range(100)])
+    docs = written(docs, "docs")
+    cuts = mixing.plan_mix(docs, *COLUMNS, shares=(9, 1) if rate == 3 else (1, 1))
+    got = mixing.apply_mix(docs, cuts, *COLUMNS).where("source = 'a'").collect()
+    assert got[0].target > 2.2 * 1000 and max(r.copies for r in got) == 3
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 10
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rates(spark, seed):
+    """Expectations come to the target whatever the weights."""
+    draw = random.Random(seed)
+    weights = [draw.choice([0.0, 0.3, 0.5, 1.0, 2.5]) for _ in range(9)]
+    sums = [("a", w, draw.randint(1, 99)) for w in sorted(set(weights) | {1.0})]
+    words = sum(n for _, w, n in sums if w)
+    for share in (0.1, 1, 2, 2.9, 3):
+        aims = spark.createDataFrame([("a", words, float(share * words))], "source string, size bigint, target double")
+        rate = mixing.rates(spark.createDataFrame(sums, "source string, weight double, size bigint"), aims, 3).first().rate
+        assert sum(min(3, rate * w) * n for _, w, n in sums) == pytest.approx(share * words)
+
+
 def test_ties_and_repeated_rows(spark):
     same = [(1, "a", 5, 1.0)] * 50 + [(2, "b", 5, 1.0)] * 50
     got = mixed(documents(spark, same)).collect()

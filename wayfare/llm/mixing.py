@@ -57,6 +57,28 @@ def targets(
     )
 
 
+def rates(sums: DataFrame, aims: DataFrame, most: int) -> DataFrame:
+    """One row per source with words of some weight: ``source``, ``rate``.
+
+    Documents are expected ``min(most, rate * weight)`` times, and the rate is that at
+    which these expectations together come to the target: what heavy documents cannot
+    take above ``most`` is shared out among the lighter ones. As in `targets` without a loop:
+    with the weights from above, the rate is the first at which the next weight
+    keeps below ``most``; if none does, all are taken ``most`` times. ``sums`` has a row
+    per source and weight, and those of one source pass one task here.
+    """
+    own = sums.where("weight > 0 AND size > 0").alias("s").join(aims.alias("t"), F.expr("s.source <=> t.source"))
+    own = own.selectExpr("s.source", "s.weight", "s.size", "t.target")
+    down = Window.partitionBy("source").orderBy(F.col("weight").desc())
+    before = F.coalesce(F.sum("size").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum(F.col("weight") * F.col("size")).over(down.rowsBetween(0, Window.unboundedFollowing))
+    stepped = own.withColumn("rate", (F.col("target") - most * before) / rest)
+    fits = F.when(F.col("rate") * F.col("weight") <= most, F.struct(-F.col("weight"), "rate"))
+    return stepped.groupBy("source").agg(
+        F.coalesce(F.min(fits)["rate"], most / F.min("weight")).alias("rate")
+    )
+
+
 def plan_mix(
     docs: DataFrame,
     source: str,
@@ -80,21 +102,20 @@ def plan_mix(
     """
     own = _own(docs, size, weight)
     sums = written(
-        own.groupBy(F.col(source).alias("source")).agg(
-            F.sum("mix__size").alias("size"),
-            F.sum(F.col("mix__weight") * F.col("mix__size")).alias("weighed"),
+        own.groupBy(F.col(source).alias("source"), F.col("mix__weight").alias("weight")).agg(
+            F.sum("mix__size").alias("size")
         ),
         "mix-sums",
     )
-    aims = targets(sums, "source", "size", shares, most).alias("t").join(
-        sums.alias("s"), F.expr("t.source <=> s.source")
-    )
+    sizes = sums.groupBy("source").agg(F.sum("size").alias("size"))
+    aims = written(targets(sizes, "source", "size", shares, most), "mix-targets")
+    rated = rates(sums, aims, most).alias("r")
     cuts = written(
-        aims.selectExpr(
+        aims.alias("t").join(rated, F.expr("t.source <=> r.source"), "left").selectExpr(
             "t.source AS mix__source",
             "t.size AS source_size",
             "t.target AS target",
-            "IF(s.weighed > 0, t.target / s.weighed, 0D) AS mix__rate",
+            "coalesce(r.rate, 0D) AS mix__rate",
             f"{int(most)} AS mix__most",
         ),
         "mix-aims",
@@ -121,6 +142,8 @@ def _taken(passes: int) -> Column:
     for number in range(passes):
         found |= F.coalesce(
             F.expr(
+                # In a struct null comes before all numbers, so say that it has an order.
+                "mix__order IS NOT NULL AND "
                 f"mix__size <= mix__limit{number} AND struct(mix__order, mix__size) <= mix__cut{number}"
             ),
             F.lit(False),
@@ -237,8 +260,8 @@ def apply_mix(
     """How often each document is taken so that sources meet their targets.
 
     Adds ``source_size``, ``target``, ``copies`` and ``taken`` (copies times
-    size). A document is expected ``e = min(most, target * weight / sum(weight *
-    size of its source))`` times and gets ``floor(e)`` certain copies. The rest is
+    size). A document is expected ``e = min(most, rate * weight)`` times, at the rate
+    of `rates`, and gets ``floor(e)`` certain copies. The rest is
     Pareto order sampling: documents in the order of the odds of ``chance`` (a
     number in (0, 1), the same in each run) divided by the odds of their
     fraction ``e - floor(e)`` get one more, as far as the cuts go.
