@@ -1,6 +1,7 @@
 """The pipeline's stages against plain Python, each on its own input."""
 
 import base64
+import hashlib
 
 import public_tokenizers
 import pytest
@@ -70,6 +71,12 @@ def test_whole_run_ends_in_the_tokenizer_s_ids(spark):
     assert sorted((r.doc_id, r.ids) for r in got) == want and want
 
 
+def test_ids_decode_to_the_text(spark, docs):
+    want = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect())
+    got = STAGE["byte_bpe"](spark, docs, FOLDER).collect()
+    assert sorted(r.decoded_sha256 for r in got) == want
+
+
 @pytest.mark.parametrize("name", STAGE)
 def test_empty(spark, docs, name):
     assert STAGE[name](spark, docs.limit(0), FOLDER).collect() == []
