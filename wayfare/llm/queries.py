@@ -86,7 +86,8 @@ def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page judged by the rules, else by its host's reputation.
 
     A page is labelled by the document of the same number: bad if of low
-    quality or toxic.
+    quality or toxic. These numberings have nothing to do with each other and there are no
+    labels of pages, so what a host's reputation says is not meaningful.
     """
     pages = table(spark, folder, "pages").select("page_id", "url")
     outcomes = table(spark, folder, "labels").select(
