@@ -1,0 +1,12 @@
+from pyspark.sql import functions as F
+
+from wayfare.workload import inputs
+
+
+def test_rows_without_a_time_stay_in_the_stream(spark, folder):
+    rows = spark.range(40).withColumn("ts", F.when(F.col("id") % 4 > 0, F.timestamp_seconds("id")))
+    stream = inputs.in_turn(rows, F.col("ts"))
+    run = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")
+    run.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{folder}/out").select("id").collect()
+    assert sorted(r.id for r in got) == list(range(40))

@@ -39,7 +39,7 @@ def in_turn(rows: DataFrame, at: Column, batches: int = 3, files: int = 2) -> Da
     """``rows`` as a stream that brings them in several batches, in order of ``at``.
 
     They are cut at quantiles of the time and written one range after the other,
-    each into a few files that make up a batch.
+    each into a few files that make up a batch. Rows without a time come with the first.
     """
     spark = rows.sparkSession
     place = scratch_path(spark, "turns")
@@ -50,6 +50,8 @@ def in_turn(rows: DataFrame, at: Column, batches: int = 3, files: int = 2) -> Da
     for low, high in itertools.pairwise(bounds):
         after = F.lit(True) if low is None else micros > low
         until = F.lit(True) if high is None else micros <= high
+        if low is None:
+            until |= micros.isNull()
         rows.where(after & until).repartition(files).write.mode("append").parquet(place)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return file_stream(spark, place, schema, files)
