@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, jaccard, lines, mixing, quality
+from wayfare.llm import bpe, lines, mixing, quality, simhash
 from wayfare.llm.queries import hex_digest, sized, table
-from wayfare.session import written
+from wayfare.session import scratch, scratch_path, written
 
 #: The columns that all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words in a shingle and differing bits of linked fingerprints, as `op3_simhash` has them.
+SHINGLE, RADIUS = 3, 3
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +36,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the least id.
 
-    Near are texts whose five-word shingles have a Jaccard similarity of 0.8 or more,
-    found without fingerprints: at any radius some such pairs are further apart. Null ids are last; of documents with one id the least hash of the text comes
+    Near are fingerprints of three-word shingles that differ in at most three bits.
+    Null ids are last; of documents with one id the least hash of the text comes
     first, and rows that repeat both are one document.
     """
     said = F.xxhash64(F.coalesce("text", F.lit("")))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", said.alias("said"))
-    groups = jaccard.near_duplicates(docs.select(key.alias("key"), "text"), key="key")
+    own = docs.select(key.alias("key"), "text")
+    groups = simhash.near_duplicates(own, key="key", width=SHINGLE, radius=RADIUS)
     first = groups.where("key = component_id").select("key").distinct()
     kept = docs.withColumn("key", key).join(first, "key", "left_semi")
     return kept.dropDuplicates(["key"]).select(*COLUMNS)
@@ -81,11 +84,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again."""
+    """All stages over ``documents``; what a stage returns is written and read again.
+
+    What a stage wrote on its way is deleted once its result is stored.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
