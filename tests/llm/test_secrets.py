@@ -87,16 +87,20 @@ def test_empty(spark, folder):
     assert ledger.findings(docs).collect() == []
 
 
-def test_query(spark):
-    folder = "/root/testdata/sf0.001"
+def test_query(spark, folder):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    planted = [(7000 + k, t, "en", "src0", len(t or "")) for k, t in enumerate(TEXTS)]
+    table.unionByName(spark.createDataFrame(planted, table.schema)).write.parquet(f"{folder}/documents.parquet")
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     got = queries.QUERIES["op5_secret_scans"](spark, folder).collect()
     assert len(got) == len(texts)
-    total = 0
+    seen = {}
     for row in got:
         spans = base_spans(texts[row.doc_id])
-        total += len(spans)
         assert row.base_sha256 == hashlib.sha256(told(spans).encode()).hexdigest()
         for kind in PATTERNS:
             assert row[f"n_{kind}"] == sum(s[0] == kind for s in spans)
-    assert total > 3
+        for span in filter(None, row.spans.split(",")):
+            seen[span.split(":")[0]] = seen.get(span.split(":")[0], 0) + 1
+    assert set(seen) == {*PATTERNS, "pem", "forge", "jwt"}
+    assert seen["assign"] > 3000

@@ -214,3 +214,45 @@ ranked AS (
     FROM codes q, codes c WHERE q.vec_id % 50 = 0)
 SELECT query, CAST(rank AS INT) AS rank, neighbour, CAST(distance AS INT) AS distance FROM ranked WHERE rank <= 10
 """
+
+# The orders by a plain recursion over letters; each step looks at the cells for itself.
+ORACLE["op11_filter_audit"] = rf"""
+WITH RECURSIVE said AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+marks AS (
+    SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+    FROM labels GROUP BY doc_id),
+masks AS (
+    SELECT said.*, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CAST(len(w) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INT)
+        + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INT)
+        + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+        + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INT) AS mask
+    FROM said LEFT JOIN marks USING (doc_id)),
+cells AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM masks GROUP BY part, mask),
+filters (letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders (o, used) AS (
+    SELECT '', 0 UNION ALL
+    SELECT o || letter, used | bit FROM orders JOIN filters ON used & bit = 0),
+placed AS (
+    SELECT o, step, bit, coalesce((SELECT sum(g.bit) FROM filters g WHERE contains(o[1:step - 1], g.letter)), 0)::INT AS before
+    FROM orders, unnest(range(1, 6)) AS t(step) JOIN filters ON letter = o[step] WHERE len(o) = 5),
+found AS (
+    SELECT part, o AS filter_order, step, bit,
+        sum(n) FILTER (mask & (before | bit) = 0) AS kept,
+        sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+        sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant,
+        sum(n) FILTER (mask = bit) AS unique_fails,
+        sum(good) FILTER (mask & before = 0 AND mask & bit <> 0) AS good_lost,
+        sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+    FROM cells, placed GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+    CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+    CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+FROM found
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, chat, hamming, lines, mixing, quality, secrets, sharding, simhash, urls
+from wayfare.llm import bpe, chat, hamming, interaction, lines, mixing, quality, secrets, sharding, simhash, urls
 from wayfare.llm.common import words
 from wayfare.session import scratch_path, written
 from wayfare.sources.files import parquet
@@ -189,3 +189,10 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", hamming.sign_code(F.col("embedding"), 64).alias("code")
     )
     return hamming.search(vectors, vectors.where("vec_id % 50 = 0"), "vec_id", "code", 10)
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters over all documents, in all 120 orders, by source."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return interaction.audit(docs, table(spark, folder, "labels"))
