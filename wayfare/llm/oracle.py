@@ -256,3 +256,24 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS
     CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
 FROM found
 """
+
+# All pairs that share a shingle, and what can be reached over those that are similar.
+ORACLE["op12_minhash"] = rf"""
+WITH RECURSIVE said AS (
+    SELECT doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+        END AS s FROM said),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b USING (item)
+    WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached (x, y) AS (
+    SELECT doc_id, doc_id FROM sets UNION
+    SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = sets.doc_id AS kept
+FROM sets JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON x = doc_id
+"""

@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, chat, hamming, interaction, lines, mixing, quality, secrets, sharding, simhash, urls
+from wayfare.llm import (
+    bpe,
+    chat,
+    hamming,
+    interaction,
+    lines,
+    minhash,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    urls,
+)
 from wayfare.llm.common import words
 from wayfare.session import scratch_path, written
 from wayfare.sources.files import parquet
@@ -196,3 +209,9 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Five filters over all documents, in all 120 orders, by source."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return interaction.audit(docs, table(spark, folder, "labels"))
+
+
+@query
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of whole documents with 85 % of their three-word shingles in common."""
+    return minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
