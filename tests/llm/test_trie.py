@@ -1,0 +1,154 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.llm import trie
+from wayfare.llm.queries import QUERIES
+
+COLUMNS = "conv_id bigint, turn bigint, role string, text string"
+RESULT = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+
+
+def token(role, text):
+    role, text = role or "", text or ""
+    return hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()[:32] + f"{len(text):08x}"
+
+
+def slow_own(rows):
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, token(*r[2:]))):
+        if conv is not None:
+            out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def slow_branched(own):
+    out = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        base = conv - (conv % 100 if conv >= 0 else -(-conv % 100))
+        out[conv] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def slow(seqs):
+    members = {}
+    for conv, turns in seqs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(conv)
+    children = {node: [n for n in members if len(n) == len(node) + 1 and n[:-1] == node] for node in members}
+
+    def leaves(node):
+        return sum(map(leaves, children[node])) or 1
+
+    def saved(node):
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        return own + sum(map(saved, children[node]))
+
+    out = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(seqs[c]) == len(node))
+        out.append(
+            (
+                min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), len(children[node]),
+                leaves(node), saved(node), hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+def told(df):
+    return sorted((tuple(r) for r in df.select(*RESULT).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Shared starts of all lengths, copies, long conversations, nulls and ties."""
+    rng = random.Random(4)
+    out = []
+    for conv in [*range(0, 320), *range(-120, -90), 5000, 2**40 + 7]:
+        if conv % 100 == 0 and conv // 100 in (2, -1):
+            continue
+        kind = rng.randrange(6)
+        n = rng.choice([1, 2, 3, 8])
+        for k in range(n):
+            text = {0: "hi", 1: f"said {k}", 2: rng.choice("ab"), 3: rng.choice("ab")}.get(kind, f"own {conv} {k}")
+            out.append((conv, k, rng.choice(["user", "assistant"]) if kind == 3 else ["user", "assistant"][k % 2], text))
+    out += [(7, k, "user", "long " + "x" * (k % 9)) for k in range(300)]
+    out += [(8, k, "user", "long " + "x" * (k % 9)) for k in range(301)]
+    out += [(9, None, None, None), (9, None, "", ""), (9, 0, "é😀", "ß"), (9, 0, "a", "é😀"), (9, 0, "a", "é😀")]
+    out += [(10, 0, "user", ""), (11, 0, "us", "er"), (None, 0, "user", "nobody"), (20, 3, None, "x" * 50000)]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.fixture(scope="module")
+def turns(spark, rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def test_sequences(spark, rows, turns):
+    got = {r.conv_id: r.tokens for r in trie.sequences(turns).collect()}
+    assert got == {c: [token(*t) for t in said] for c, said in slow_own(rows).items()}
+
+
+def test_branched(spark, rows, turns):
+    got = {r.conv_id: r.tokens for r in trie.branched(trie.sequences(turns)).collect()}
+    want = slow_branched(slow_own(rows))
+    assert got == {c: [token(*t) for t in said] for c, said in want.items()}
+    assert any(not said for said in want.values())
+
+
+@pytest.mark.parametrize(("shards", "depth"), [(None, 32), (1, 32), (7, 32), (40, 3), (40, 1)])
+def test_against_plain_python(spark, rows, turns, shards, depth):
+    seqs = trie.branched(trie.sequences(turns))
+    assert told(trie.prefix_trie(seqs, shards, depth)) == slow(slow_branched(slow_own(rows)))
+
+
+def test_shards_share_nodes_of_the_skeleton_only(spark, turns):
+    paths = trie.sequences(turns).select(F.array_join("tokens", "").alias("path"), "conv_id")
+    cut = paths.repartitionByRange(9, "path").withColumn("shard", F.spark_partition_id()).cache()
+    firsts = [r[1] for r in cut.groupBy("shard").agg(F.min("path")).orderBy("shard").collect()]
+    shared = trie.skeleton(firsts[1:])
+    owners = {}
+    for row in cut.collect():
+        node = b""
+        for at in range(0, len(row.path), trie.TOKEN):
+            node = trie._step(node, row.path[at : at + trie.TOKEN])
+            owners.setdefault(node, set()).add(row.shard)
+    assert len(set(firsts)) > 5
+    assert {node for node, of in owners.items() if len(of) > 1} <= shared
+
+
+def test_copies_are_split_and_digested_in_order(spark):
+    ids = [k * 37 - 40000 for k in range(6000)]
+    convs = spark.createDataFrame([(c, ["t" * 40]) for c in ids], "conv_id bigint, tokens array<string>")
+    ends = trie.endings(convs.select("conv_id", F.array_join("tokens", "").alias("path"))).collect()
+    want = hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()
+    assert [tuple(r) for r in ends] == [(min(ids), 6000, want)]
+
+
+def test_the_text_of_each_node(spark, rows, turns):
+    own = slow_own(rows)
+    nodes = trie.with_turns(trie.prefix_trie(trie.sequences(turns), 5), turns)
+    got = nodes.select("conv_id", "depth", "role", "text").collect()
+    for row in got:
+        want = own[row.conv_id][row.depth - 1] if row.depth else (None, None)
+        assert (row.role, row.text) == want
+
+
+def test_clashing_names_and_empty(spark, rows, turns):
+    odd = turns.selectExpr("*", "1 AS token", "2 AS at", "'x' AS path", "3 AS shard", "4 AS node")
+    assert told(trie.prefix_trie(trie.branched(trie.sequences(odd)))) == slow(slow_branched(slow_own(rows)))
+    assert trie.prefix_trie(trie.branched(trie.sequences(turns.limit(0)))).collect() == []
+    none = spark.createDataFrame([(3, []), (4, [])], "conv_id bigint, tokens array<string>")
+    assert told(trie.prefix_trie(none)) == [(3, 0, None, 2, 0, 1, 0, hashlib.sha256(b"3,4").hexdigest())]
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert told(QUERIES["op13_prefix_trie"](spark, folder)) == slow(slow_branched(slow_own(rows)))

@@ -277,3 +277,42 @@ reached (x, y) AS (
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = sets.doc_id AS kept
 FROM sets JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON x = doc_id
 """
+
+# Each prefix of each sequence for itself; CRC-32 bit by bit, as there is no function for it.
+ORACLE["op13_prefix_trie"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+tokens AS (
+    SELECT conv_id, turn, left(sha256(length(role) || ':' || role || text), 32) || printf('%08x', length(text)) AS token
+    FROM said),
+own AS (
+    SELECT conv_id, list(token ORDER BY turn NULLS FIRST, token) AS t, CAST(conv_id AS VARCHAR) AS c
+    FROM tokens GROUP BY conv_id),
+sums AS (
+    SELECT *, xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, len(c) + 1), lambda i: ascii(c[i])::BIGINT)),
+        lambda x, b: list_reduce(list_prepend(xor(x, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda y, z: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END + z)))) % 6 AS h
+    FROM own),
+rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.t, [])[1:a.h], a.t[a.h + 1:]) AS t
+    FROM sums a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+prefixes AS (
+    SELECT conv_id, d, array_to_string(t[1:d], '') AS node, d = len(t) AS ends,
+        CASE WHEN d = 0 THEN 0 ELSE ('0x' || right(t[d], 8))::BIGINT END AS chars
+    FROM rebuilt, unnest(range(0, len(t) + 1)) AS u(d)),
+nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends
+    FROM prefixes GROUP BY node, d),
+below AS (SELECT left(node, 40 * (d - 1)) AS node, count(*) AS children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(children, 0) AS children FROM nodes LEFT JOIN below USING (node)),
+subtrees AS (
+    SELECT left(node, 40 * k) AS node, count(*) FILTER (children = 0) AS leaves, sum((n - 1) * chars) AS saved
+    FROM counted, unnest(range(0, d + 1)) AS u(k) GROUP BY 1)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.children AS n_children,
+    leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, c.ends AS ends_sha256
+FROM counted c JOIN subtrees USING (node)
+LEFT JOIN nodes p ON c.d > 0 AND p.node = left(c.node, 40 * (c.d - 1))
+"""

@@ -21,6 +21,7 @@ from wayfare.llm import (
     secrets,
     sharding,
     simhash,
+    trie,
     urls,
 )
 from wayfare.llm.common import words
@@ -215,3 +216,13 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Components of whole documents with 85 % of their three-word shingles in common."""
     return minhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each begun like the first of its hundred."""
+    own = trie.sequences(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    nodes = trie.prefix_trie(trie.branched(written(own, "own-turns")))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
