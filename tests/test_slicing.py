@@ -10,7 +10,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayfare import session
-from wayfare.operators.collections import drop_repeats, latest_per_key, records_from_pairs
+from wayfare.operators.collections import (
+    drop_repeats,
+    latest_in_one_pass,
+    latest_per_key,
+    records_from_pairs,
+)
 from wayfare.operators.ranking import nth_distinct, with_rank
 from wayfare.operators.slicing import PART, By, in_parts, ordered_window, with_positions
 from wayfare.plans.workforce import nth_salary, salary_rank, salary_rank_sql
@@ -225,10 +230,27 @@ def test_latest_per_key_sends_a_row_per_key(spark, plan):
     df = spark.createDataFrame(
         [(1, 5, "a"), (1, 6, None), (2, 1, "c"), (None, 1, "d")], "k int, v int, x string"
     )
-    latest = latest_per_key(df, ["k"], ["v"])
-    assert as_set(latest) == sorted(["Row(k=1, v=6, x=None)", "Row(k=2, v=1, x='c')",
-                                     "Row(k=None, v=1, x='d')"])
-    assert "partial_max_by" in plan(latest)
+    want = sorted(["Row(k=1, v=6, x=None)", "Row(k=2, v=1, x='c')", "Row(k=None, v=1, x='d')"])
+    for form in (latest_per_key, latest_in_one_pass):
+        assert as_set(form(df, ["k"], ["v"])) == want
+    assert "partial_max_by" in plan(latest_in_one_pass(df, ["k"], ["v"]))
+    hashed = plan(latest_per_key(df, ["k"], ["v"]))
+    assert "partial_max" in hashed and "SortAggregate" not in hashed
+
+
+def test_latest_per_key_of_several_versions(spark, plan):
+    rng = random.Random(3)
+    some = lambda *values: rng.choice([None, *values])
+    table = [(some(1, 2, 3), some(1.5, float("nan"), -0.0), some(1, 2), i, rng.choice("ab")) for i in range(300)]
+    table += table[:50]
+    df = spark.createDataFrame(table, "k int, u double, v int, w bigint, x string")
+    latest = latest_per_key(df, ["k"], ["u", "v", "w"])
+    assert as_set(latest) == as_set(latest_in_one_pass(df, ["k"], ["u", "v", "w"]))
+    assert latest.count() == 4
+    assert "SortAggregate" not in plan(latest)
+    # Text has no fixed width: one pass, and the same rows.
+    by_text = latest_per_key(df, ["k"], ["x", "w"])
+    assert as_set(by_text) == as_set(latest_in_one_pass(df, ["k"], ["x", "w"]))
 
 
 def test_records(spark):

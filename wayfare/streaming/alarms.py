@@ -25,8 +25,9 @@ def long_rides_stream(
     """The STARTs to raise an alarm for, from built-in operators.
 
     A left outer join of STARTs with ENDs in time gives a START without END
-    once the watermark is past its deadline (not yet when it is at it). One
-    START per ride is expected.
+    once the watermark is past its deadline (not yet when it is at it). A source may
+    repeat events: copies of a START have one deadline and so leave the join in one batch,
+    where one of them is kept. That state holds alarms only, not rides.
     """
     events = timed_rides(rides, delay)
     # Both sides must see the watermark of all events, so the conditions read
@@ -44,6 +45,7 @@ def long_rides_stream(
     return (
         starts.join(ends, in_time, "left_outer")
         .where(F.col("ended_ride").isNull())
+        .dropDuplicates(["ride_id", "event_time"])
         .select(*rides.columns)
     )
 

@@ -7,8 +7,6 @@ END and an attribute without a value no row.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,44 +15,52 @@ from wayfare.functions.codec import encode_transaction
 from wayfare.session import scratch_path
 from wayfare.sources.files import file_stream, parquet
 
-EVENTS = """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
-    value double, props string"""
-ORDERS = """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
-    o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"""
-
-SCHEMAS = {"events": EVENTS, "orders": ORDERS}
-
-
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return parquet(spark, f"{folder}/{name}.parquet")
 
 
-def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table as a stream of one batch."""
-    # As a pattern the path may be one file or a folder of files.
-    return file_stream(spark, f"{folder}/{name}.parque[t]", SCHEMAS[name])
+def in_turn(rows: DataFrame, at: Column, batches: int = 3) -> DataFrame:
+    """``rows`` as a stream that brings them in several batches, in order of ``at``.
+
+    They are cut at quantiles of the time. Rows without a time come with the first.
+    """
+    micros = F.unix_micros(at.cast("timestamp"))
+    shares = [n / batches for n in range(1, batches)]
+    cuts = sorted(set(rows.select(F.percentile_approx(micros, shares)).first()[0] or []))
+    number = F.lit(0)
+    for cut in cuts:
+        number += F.coalesce(micros > cut, F.lit(False)).cast("int")
+    return in_batches(rows, number, len(cuts) + 1)
 
 
-def in_turn(rows: DataFrame, at: Column, batches: int = 3, files: int = 2) -> DataFrame:
-    """``rows`` as a stream that brings them in several batches, in order of ``at``.
+def in_batches(rows: DataFrame, number: Column, batches: int, rows_a_file: int = 50_000) -> DataFrame:
+    """``rows`` as a stream of the batches ``number``, from 0 to ``batches - 1``.
 
-    They are cut at quantiles of the time and written one range after the other,
-    each into a few files that make up a batch. Rows without a time come with the first.
+    They are written one batch after the other, each into as many files, by the
+    number of rows and at most four for each core of the cluster; so many files are taken at a time.
     """
     spark = rows.sparkSession
     place = scratch_path(spark, "turns")
-    micros = F.unix_micros(at.cast("timestamp"))
-    shares = [n / batches for n in range(1, batches)]
-    cuts = rows.select(F.percentile_approx(micros, shares)).first()[0] or []
-    bounds = [None, *sorted(set(cuts)), None]
-    for low, high in itertools.pairwise(bounds):
-        after = F.lit(True) if low is None else micros > low
-        until = F.lit(True) if high is None else micros <= high
-        if low is None:
-            until |= micros.isNull()
-        rows.where(after & until).repartition(files).write.mode("append").parquet(place)
+    most = 4 * spark.sparkContext.defaultParallelism
+    count = max(1, min(most, rows.count() // batches // rows_a_file))
+    numbered = rows.withColumn("turn__", number)
+    for n in range(batches):
+        part = numbered.where(F.col("turn__") == n).drop("turn__")
+        part.repartition(count).write.mode("append").parquet(place)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return file_stream(spark, place, schema, files)
+    return file_stream(spark, place, schema, count)
+
+
+def thirds_with_stragglers(events: DataFrame) -> DataFrame:
+    """Events as a stream of three batches, thirds of the time that they span.
+
+    Every tenth comes with the batch after its own.
+    """
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.select(F.min(micros), F.max(micros)).first()
+    third = F.floor((micros - F.lit(low or 0)) * 3 / F.lit((high or 0) - (low or 0) + 1)).cast("int")
+    straggles = (F.col("event_id") % 10 == 0).cast("int")
+    return in_batches(events, F.least(F.lit(2), F.coalesce(third, F.lit(0)) + straggles), 3)
 
 
 def naive(df: DataFrame, *columns: str) -> DataFrame:
@@ -112,6 +118,27 @@ def _click_body() -> Column:
     )
 
 
+def sent_twice(rides: DataFrame) -> DataFrame:
+    """Ride events from a source that repeats them, with the time ``sent``.
+
+    Every START comes twice, every other one 40 minutes later, and every third END too.
+    """
+    own = F.when(F.col("is_start"), F.col("start_time")).otherwise(F.col("end_time"))
+    again = F.when(F.col("ride_id") % 2 == 0, own).otherwise(own + F.expr("INTERVAL 40 MINUTES"))
+    repeated = rides.where(F.col("is_start") | (F.col("ride_id") % 3 == 0))
+    return rides.withColumn("sent", own).unionAll(repeated.withColumn("sent", again))
+
+
+def corrected_amounts(orders: DataFrame) -> DataFrame:
+    """Each order's amount twice: first half of it, and 200 days later the whole."""
+    whole = F.floor("o_totalprice").cast("bigint")
+    first = orders.select("o_orderkey", "o_custkey", F.floor(whole / 2).alias("amount"), F.lit(0).alias("step"),
+                          F.col("o_orderdate").alias("sent"))
+    then = orders.select("o_orderkey", "o_custkey", whole.alias("amount"), F.lit(1).alias("step"),
+                         (F.col("o_orderdate") + F.expr("INTERVAL 200 DAYS")).alias("sent"))
+    return first.unionAll(then)
+
+
 def click_messages(events: DataFrame) -> DataFrame:
     """A JSON click per event as bytes, with the event's id beside it."""
     return events.select("event_id", _click_body().cast("binary").alias("value"))

@@ -412,6 +412,7 @@ ORACLE: dict[str, str] = {
     "long_rides": LONG_RIDES,
     "long_rides_stream": LONG_RIDES,
     "long_rides_stateful": LONG_RIDES,
+    "long_rides_repeated_stream": LONG_RIDES,
     "event_log_order": EVENT_LOG,
     "event_log_order_sliced": EVENT_LOG,
     "pickup_heatmap": HEATMAP,
@@ -424,6 +425,33 @@ ORACLE: dict[str, str] = {
     "direction_histogram": DIRECTIONS.format(angle="radians(CAST(start_lat AS DOUBLE))"),
     "direction_histogram_compat": DIRECTIONS.format(angle="CAST(start_lon AS DOUBLE)"),
     "spend_by_account": SPEND,
+    "spend_by_account_incremental": SPEND,
+    "popularity_table": POPULARITY,
+    "cached_priorities": """
+        SELECT o_orderpriority AS kind, count(*) AS orders FROM orders
+        WHERE o_totalprice > 100000 GROUP BY 1
+        UNION ALL SELECT o_orderstatus, count(*) FROM orders WHERE o_totalprice > 100000 GROUP BY 1
+    """,
+    "typed_orders": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+               CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS o_totalprice FROM orders
+    """,
+    "late_clicks_stream": f"""
+        WITH {CLICKS},
+        span AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+        placed AS (
+          SELECT c.event_id, c.event_time,
+                 least(2, (epoch_us(ts) - low) * 3 // (high - low + 1)
+                   + CASE WHEN c.event_id % 10 = 0 THEN 1 ELSE 0 END) AS batch_id
+          FROM clicks c JOIN events USING (event_id), span),
+        marks AS (
+          SELECT b.batch_id, max(a.event_time) AS mark
+          FROM (SELECT DISTINCT batch_id FROM placed) b JOIN placed a ON a.batch_id < b.batch_id
+          GROUP BY b.batch_id)
+        SELECT event_id, CAST(batch_id AS BIGINT) AS batch_id,
+               coalesce(event_time <= mark - INTERVAL '200 milliseconds', false) AS late
+        FROM placed LEFT JOIN marks USING (batch_id)
+    """,
     "mean_spend": f"SELECT avg(value) AS mean_value FROM ({SPEND})",
     "spend_report_upsert": """
         SELECT o_custkey AS account_id, o_orderdate AS log_ts,

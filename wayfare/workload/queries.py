@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,15 @@ from wayfare.operators.slicing import By
 from wayfare.plans import clicks as click_plans
 from wayfare.plans import marts, selection, spend, workforce
 from wayfare.plans import rides as ride_plans
-from wayfare.schemas import CLICK
+from wayfare.schemas import CLICK, conform
 from wayfare.session import ROCKSDB_STATE, scratch_path, settings, written
 from wayfare.sinks import files as sink
 from wayfare.sinks.keyed import KeyedTable
-from wayfare.sinks.streams import ONCE, to_keyed_table, to_parquet
+from wayfare.sinks.late import LateSplit
+from wayfare.sinks.streams import ONCE, to_batches, to_keyed_table, to_parquet
+from wayfare.sinks.totals import RunningTotals
 from wayfare.sources import files
-from wayfare.sources.tables import view
+from wayfare.sources.tables import table, view
 from wayfare.streaming import alarms, averages, time
 from wayfare.workload import inputs
 from wayfare.workload.inputs import in_turn, naive, read
@@ -431,6 +434,17 @@ def page_count_15s_stream(spark, folder):
     return naive(table, "windowStart", "windowEnd")
 
 
+@query
+def late_clicks_stream(spark, folder):
+    """Clicks of three batches with the batch and whether they came late."""
+    events = inputs.thirds_with_stragglers(read(spark, folder, "events"))
+    clicks = click_plans.clicks(inputs.click_messages(events), keep=("event_id",))
+    place = scratch_path(spark, "late")
+    split = LateSplit(f"{place}/clicks", ddl(clicks), "event_time", time.CLICK_DELAY)
+    to_batches(clicks, split.write, f"{place}/checkpoint", trigger=ONCE).awaitTermination()
+    return split.rows(spark).select("event_id", "batch_id", "late")
+
+
 @query
 def latest_click_per_user(spark, folder):
     latest = click_plans.latest_clicks(_clicks(spark, folder), ["event_time", "event_id"])
@@ -535,6 +549,14 @@ def long_rides_stream(spark, folder):
     return _plain(appended(alarms.long_rides_stream(_ride_stream(spark, folder)), spark))
 
 
+@query
+def long_rides_repeated_stream(spark, folder):
+    """The alarms of a source that sends its events again."""
+    sent = inputs.sent_twice(inputs.rides(read(spark, folder, "events")))
+    rides = in_turn(sent, F.col("sent")).drop("sent")
+    return _plain(appended(alarms.long_rides_stream(rides), spark))
+
+
 @query
 def long_rides_stateful(spark, folder):
     with settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE}):
@@ -640,3 +662,46 @@ def spend_report_upsert(spark, folder):
         transactions, spark, ["account_id", "log_ts"], ["o_orderkey"], "append"
     )
     return naive(table.drop("o_orderkey"), "log_ts")
+
+
+@query
+def spend_by_account_incremental(spark, folder):
+    """Spending kept up to date while amounts are corrected."""
+    amounts = in_turn(inputs.corrected_amounts(_orders(spark, folder)), F.col("sent")).drop("sent")
+    place = scratch_path(spark, "spend")
+    table = KeyedTable(f"{place}/amounts", ddl(amounts), ["o_orderkey"], ["step"], fold_after=2)
+    totals = RunningTotals(table, f"{place}/totals", "o_custkey", "amount", "bigint")
+    to_batches(amounts, totals.upsert, f"{place}/checkpoint", trigger=ONCE).awaitTermination()
+    return totals.current(spark).select(F.col("group").cast("string").alias("metric"), "value")
+
+
+# --- catalog and types -------------------------------------------------------
+
+
+@query
+def popularity_table(spark, folder):
+    """A mart as a table of the catalog, read by its name."""
+    name = f"popularity_{uuid.uuid4().hex}"
+    sink.managed_table(borough_popularity(spark, folder), name)
+    return table(spark, name)
+
+
+@query
+def cached_priorities(spark, folder):
+    """Two queries of one table that SQL caches."""
+    name = f"large_orders_{uuid.uuid4().hex}"
+    view(_orders(spark, folder), f"{name}_of")
+    cached = selection.cache_table(spark, name, f"SELECT * FROM {name}_of WHERE o_totalprice > 100000")
+    by_priority = cached.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    by_status = cached.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+    both = by_priority.unionAll(by_status).toDF("kind", "orders")
+    found = written(both, "priorities")
+    spark.sql(f"UNCACHE TABLE {name}")
+    return found
+
+
+@query
+def typed_orders(spark, folder):
+    """Orders in a declared schema that is wider than the table's."""
+    narrow = _orders(spark, folder).select("o_orderkey", F.col("o_custkey").cast("int"), F.col("o_totalprice").cast("float"))
+    return conform(narrow, "o_orderkey string, o_custkey bigint, o_totalprice double")
