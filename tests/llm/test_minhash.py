@@ -104,8 +104,8 @@ def test_links_between_the_leaves_of_a_star(spark, limits):
 
 def test_leaves_are_compared_only_where_needed(spark):
     met = spark.createDataFrame(
-        [(b, p, 0, 5) for b in (1, 2) for p in (0, 1, 2)] + [(3, p, 0, 5) for p in (0, 3, 4)],
-        "bucket bigint, place bigint, hub bigint, n bigint",
+        [(b, p, 0) for b in (1, 2) for p in (0, 1, 2)] + [(3, p, 0) for p in (0, 3, 4)],
+        "bucket bigint, place bigint, hub bigint",
     )
     linked = spark.createDataFrame([(4, 3)], "a bigint, b bigint")
     left = minhash.unsettled(met, linked).collect()

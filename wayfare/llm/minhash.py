@@ -188,22 +188,36 @@ def similar_roots(sets: Sequence[np.ndarray], root: np.ndarray, percent: int) ->
 def compared(members: DataFrame, sets: DataFrame, percent: int, most_items: int, most_sets: int) -> DataFrame:
     """Links ``a``, ``b`` that connect all similar sets of each bucket.
 
-    ``members`` has ``bucket``, ``place``, ``n`` and the component ``root`` known so far. A
-    bucket beyond ``most_sets`` sets or ``most_items`` items is cut into parts, and each
-    pair of parts is compared by itself, so a task holds two parts at most. Only
-    links to the first of a component are passed on.
+    ``members`` has ``bucket``, ``place``, ``n`` and the component ``root`` known so far.
+    Buckets that have members in common are one if a task can hold them together, so
+    a pair that meets in many buckets is compared once. A bucket beyond ``most_sets`` sets
+    or ``most_items`` items is cut into parts, and each pair of parts is compared by
+    itself, so a task holds two parts at most. Only links to the first of a component
+    are passed on.
     """
-    sizes = members.groupBy("bucket").agg(
-        F.greatest(
-            F.ceil(F.sum("n") / most_items), F.ceil(F.count(F.lit(1)) / most_sets)
-        ).cast("int").alias("parts")
-    )
-    group = ["bucket", "low", "high"]
+    parts = F.greatest(F.ceil(F.sum("n") / most_items), F.ceil(F.count(F.lit(1)) / most_sets)).cast("int")
+    least = members.groupBy("bucket").agg(F.min("place").alias("b"))
+    touching = stars(members.join(least, "bucket").select(F.col("place").alias("a"), "b").distinct())
+    clusters = members.join(touching.withColumnRenamed("a", "place"), "place", "left").withColumn(
+        "cluster", F.coalesce("b", "place")
+    )
+    together = clusters.select("cluster", "place", "n").distinct().groupBy("cluster").agg(parts.alias("parts"))
+    together = together.where("parts = 1").select("cluster", F.lit(True).alias("together"))
+    bucket = F.when(F.col("together"), F.lit(0)).otherwise(F.col("bucket"))
+    members = clusters.join(together, "cluster", "left").select(
+        "cluster", bucket.alias("bucket"), "place", "n", "root"
+    )
+    members = written(members.distinct(), "to-compare")
+    sizes = members.groupBy("cluster", "bucket").agg(parts.alias("parts"))
+    group = ["cluster", "bucket", "low", "high"]
     tiled = (
-        members.join(sizes, "bucket")
+        members.join(sizes, ["cluster", "bucket"])
         .withColumn("part", F.pmod(F.xxhash64("place"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "place", "root")
+        .select(
+            "cluster", "bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+            "place", "root",
+        )
         .join(sets, "place")
     )
 
@@ -261,7 +275,7 @@ def unsettled(met: DataFrame, linked: DataFrame) -> DataFrame:
         .where("first < last")
     )
     chosen = apart.groupBy("members", "one", "two").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return known.where("place <> hub").join(chosen, "bucket").select("bucket", "place", "n", "root")
+    return known.where("place <> hub").join(chosen, "bucket").select("bucket", "place", "root")
 
 
 def near_duplicates(
@@ -314,12 +328,12 @@ def near_duplicates(
         "distinct-sets",
     )
     banded = told.join(sets.select("place"), "place", "left_semi").select(
-        "place", "n", F.explode("bands").alias("bucket")
+        "place", F.explode("bands").alias("bucket")
     )
     hubs = banded.groupBy("bucket").agg(F.min("place").alias("hub"), F.max("place").alias("last"))
     met = written(banded.join(hubs.where("hub < last").select("bucket", "hub"), "bucket"), "buckets")
     who = written(
-        told.join(met.select("place").distinct(), "place").select("key", "print", "said", "place"), "sets-met"
+        told.join(met.select("place").distinct(), "place").select("key", "print", "said", "place", "n"), "sets-met"
     )
     of_who = who.select(F.col("key").alias("of"), F.col("print").alias("is"))
     texts = own.join(of_who, F.col("key").eqNullSafe(F.col("of")) & (F.col("print") == F.col("is")), "left_semi")
@@ -332,6 +346,7 @@ def near_duplicates(
     linked = stars(links)
     left = written(unsettled(met, linked), "unsettled")
     if not left.isEmpty():
+        left = left.join(who.select("place", "n"), "place")
         linked = stars(links.unionAll(compared(left, whole, percent, most_items, most_sets)))
 
     rooted = sets.join(linked.withColumnRenamed("a", "place"), "place", "left").select(
