@@ -67,7 +67,7 @@ def search(
     code: str,
     k: int,
     words: int = 1,
-    bits: int | None = None,
+    bits: int = 16,
 ) -> DataFrame:
     """The ``k`` nearest rows of ``index`` for each row of ``queries``, exactly.
 
@@ -75,8 +75,7 @@ def search(
     row's key) and ``distance``, ordered by distance, then key. A query that is
     itself in the index finds itself.
 
-    Codes are cut into segments of ``bits`` bits (by default 8 or 16, whichever is
-    nearer to the logarithm of the number of codes); two codes within distance
+    Codes are cut into segments of ``bits`` bits; two codes within distance
     ``m * (r + 1) - 1`` agree up to ``r`` bits in one of ``m`` segments at least. In
     round ``r`` the values at ``r`` bits from a query's segments are looked up by an
     equi-join and what is found is measured in full. A query is done when its
@@ -92,8 +91,6 @@ def search(
     by_key = Window.partitionBy("code").orderBy(F.col("id").asc_nulls_first())
     ids = written(rows.withColumn("nth", F.row_number().over(by_key)).where(F.col("nth") <= k), "code-ids")
     held = ids.count()
-    if bits is None:
-        bits = 16 if held >= 1 << 12 else 8
     if WORD % bits or bits > 16:
         raise ValueError("segments must fill a word and have 16 bits at most")
     m = words * (WORD // bits)
@@ -110,7 +107,9 @@ def search(
     for radius in range(bits + 1):
         if not need:
             break
-        probes = going.select("asked", "bound", F.explode(segments(F.col("asked"), words, bits)).alias("at"))
+        # Few rows that become many: a number of partitions that is not merged.
+        dealt = going.repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), "asked")
+        probes = dealt.select("asked", "bound", F.explode(segments(F.col("asked"), words, bits)).alias("at"))
         flipped = probes.withColumn("flip", F.explode(flips(bits, radius))).select(
             "asked", "bound", "at.segment", F.col("at.value").bitwiseXOR(F.col("flip")).alias("value")
         )
