@@ -13,6 +13,8 @@ from wayfare.llm.common import let
 # Each turn is TURN role TEXT content END. Content cannot hold any of them.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 
+RESULTS = ("n_turns", "segments", "attachments", "formatted")
+
 PARTS = """array<struct<kind:string, text:string, uri:string, width:int, height:int,
     seconds:double, pages:int>>"""
 
@@ -54,7 +56,8 @@ class Expansion:
 def visited(parts: Column, expansion: Expansion) -> Column:
     """Visit typed parts in order: their content and the attachments they refer to.
 
-    Text is escaped; any other part becomes a placeholder ``<|kind:n|>`` that
+    Neighbouring text is one text and is escaped as such, so no control string can be put
+    together from parts; any other part becomes a placeholder ``<|kind:n|>`` that
     counts the attachments of its turn from 0. A null list has no parts, a null
     part is skipped, a part without kind is text, and an unknown kind is an
     attachment of no tokens.
@@ -66,17 +69,23 @@ def visited(parts: Column, expansion: Expansion) -> Column:
             return F.coalesce(p["kind"], F.lit("text")) == "text"
 
         attached = F.filter(F.transform(ps, lambda p, i: F.struct(p.alias("part"), i.alias("at"))), lambda x: ~is_text(x["part"]))
+        texts = F.transform(ps, lambda p: F.coalesce(p["text"], F.lit("")))
 
         def content(files: Column) -> Column:
-            places = F.transform(files, lambda x: x["at"])
-
-            def piece(p: Column, i: Column) -> Column:
-                number = (F.array_position(places, i) - 1).cast("string")
-                mark = F.concat(F.lit("<|"), F.regexp_replace(p["kind"], r"[^a-z0-9_]", "_"), F.lit(":"), number, F.lit("|>"))
-                return F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)
-
+            def run(k: Column) -> Column:
+                """All text before the k-th attachment, or after the last."""
+                start = F.coalesce(F.get(files, k - 1)["at"] + 1, F.lit(0))
+                end = F.coalesce(F.get(files, k)["at"], F.size(ps))
+                return escape(F.array_join(F.slice(texts, start + 1, end - start), ""))
+
+            def mark(k: Column) -> Column:
+                kind = F.regexp_replace(F.get(files, k)["part"]["kind"], r"[^a-z0-9_]", "_")
+                placed = F.concat(F.lit("<|"), kind, F.lit(":"), k.cast("string"), F.lit("|>"))
+                return F.coalesce(placed, F.lit(""))
+
+            pieces = F.transform(F.sequence(F.lit(0), F.size(files)), lambda k: F.concat(run(k), mark(k)))
             return F.struct(
-                F.array_join(F.transform(ps, piece), "").alias("content"),
+                F.array_join(pieces, "").alias("content"),
                 F.transform(
                     files,
                     lambda x: F.struct(
@@ -123,8 +132,11 @@ def format_chats(
     conversation meet, and as a conversation is one text they meet in one row.
     They are ordered by ``turn`` (null first), ties by role and content, so
     repeated rows stay and follow each other. Null roles are empty; null
-    conversations are one conversation. Empty input gives no rows.
+    conversations are one conversation. Empty input gives no rows. The conversation's
+    column may not have the name of a result.
     """
+    if conversation in RESULTS:
+        raise ValueError(f"{conversation} is the name of a result; rename the column")
     seen = visited(F.col(parts), expansion)
     name = F.coalesce(F.col(role), F.lit(""))
     pieces = turns.select(
