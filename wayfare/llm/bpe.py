@@ -360,7 +360,9 @@ def encode(
     """
     if into in keep:
         raise ValueError(f"{into} is also a kept column")
-    found = RankMap(ranks.merges, len(ranks.pieces))
+    # The map of pairs is not kept on the driver, nor sent to the tasks; one that meets a
+    # very long word makes it again.
+    found = RankMap(Ranks(ranks.pieces).merges, len(ranks.pieces))
     frequent = repeated_words(docs, text, pattern, block_chars, long_word, most_known)
     known = merged_words(frequent, ranks, found)
 
