@@ -73,6 +73,16 @@ _LON = "CAST(-74.1D + (((event_id % 4501) * {step}) % 4501) / 10000.0D AS FLOAT)
 _LAT = "CAST(40.45D + (((event_id % 6001) * {step}) % 6001) / 10000.0D AS FLOAT)"
 
 
+def homes(customer: DataFrame) -> DataFrame:
+    """A place to live for each customer, spread like the ends of rides."""
+    east, north = "(c_custkey * 1777) % 4501", "(c_custkey * 2311) % 6001"
+    return customer.selectExpr(
+        "c_custkey",
+        f"CAST(-74.1D + {east} / 10000.0D AS FLOAT) AS lon",
+        f"CAST(40.45D + {north} / 10000.0D AS FLOAT) AS lat",
+    )
+
+
 def rides(events: DataFrame) -> DataFrame:
     """A START per event, and an END ``value`` minutes later unless it is an error."""
     events = events.withColumn("is_start", F.explode(F.array(F.lit(True), F.lit(False))))

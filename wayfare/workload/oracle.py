@@ -251,6 +251,27 @@ SELECT ride_id, is_start, round(CAST(110.25 AS DOUBLE) * sqrt(
 FROM places ORDER BY distance, ride_id, is_start LIMIT 10
 """
 
+NEAREST_HOMES = f"""
+WITH {RIDES},
+homes AS (
+  SELECT c_custkey, CAST(-74.1 + (c_custkey * 1777 % 4501) / CAST(10000 AS DOUBLE) AS FLOAT) AS home_lon,
+         CAST(40.45 + (c_custkey * 2311 % 6001) / CAST(10000 AS DOUBLE) AS FLOAT) AS home_lat
+  FROM customer
+),
+met AS (
+  SELECT c_custkey, ride_id, round(CAST(110.25 AS DOUBLE) * sqrt(
+      power(CAST(home_lat - start_lat AS DOUBLE), 2)
+      + power(CAST(home_lon - start_lon AS DOUBLE) * cos(radians(CAST(start_lat AS DOUBLE))), 2)), 6) AS distance
+  FROM homes, rides WHERE is_start
+),
+ranked AS (
+  SELECT c_custkey, ride_id, distance,
+         CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY distance, ride_id) AS INT) AS rank
+  FROM met
+)
+SELECT * FROM ranked WHERE rank <= 3
+"""
+
 SPEND = """
 SELECT CAST(o_custkey AS VARCHAR) AS metric,
        CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS value
@@ -422,6 +443,7 @@ ORACLE: dict[str, str] = {
     "trip_length_km": LENGTHS.format(angle="radians(CAST(end_lat AS DOUBLE))"),
     "trip_length_km_compat": LENGTHS.format(angle="CAST(end_lat AS DOUBLE)"),
     "nearest_to_point": NEAREST,
+    "nearest_per_customer": NEAREST_HOMES,
     "direction_histogram": DIRECTIONS.format(angle="radians(CAST(start_lat AS DOUBLE))"),
     "direction_histogram_compat": DIRECTIONS.format(angle="CAST(start_lon AS DOUBLE)"),
     "spend_by_account": SPEND,

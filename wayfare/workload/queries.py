@@ -13,6 +13,7 @@ from wayfare.functions.codec import decode_transactions, split_json
 from wayfare.functions.text import register_strlen
 from wayfare.operators import joins
 from wayfare.operators.collections import records_from_pairs
+from wayfare.operators.nearest import nearest
 from wayfare.operators.slicing import By
 from wayfare.plans import clicks as click_plans
 from wayfare.plans import marts, selection, spend, workforce
@@ -625,6 +626,15 @@ def nearest_to_point(spark, folder):
     return marts.top(near, 10, "distance", "ride_id", "is_start")
 
 
+@query
+def nearest_per_customer(spark, folder):
+    homes = inputs.homes(read(spark, folder, "customer"))
+    starts = _rides(spark, folder).where("is_start").selectExpr(
+        "ride_id", "start_lon AS lon", "start_lat AS lat"
+    )
+    return nearest(homes, starts, 3, "c_custkey", "ride_id")
+
+
 @query
 def direction_histogram(spark, folder):
     return ride_plans.direction_histogram(_rides(spark, folder))
