@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from wayfare.llm import urls
+from wayfare.llm import queries, urls
 
 URLS = {
     None: ("", "", None),
@@ -90,3 +90,47 @@ def test_empty_and_native(spark, plan):
     pages = spark.createDataFrame([], "page_id bigint, url string")
     judged = urls.judge(pages, outcomes(spark, []))
     assert judged.collect() == [] and not re.search("Python|Arrow", plan(judged))
+
+
+def test_visible_text(spark):
+    pages = {
+        None: "",
+        "": "",
+        "<p>a<b>b</b> &amp; c</p>": " a b    c ",
+        "x<SCRIPT a=1>var t='</p>';</Script >y": "x y",
+        "x<style>p{}": "x ",
+        "x<!-- <p>no</p> -->y<!-- to the end": "x y ",
+        "1 < 2 <<p>z": "1 < 2 < z",
+        "<" * 20_000 + "p": "<" * 20_000 + "p",
+    }
+    rows = spark.createDataFrame([(h, t) for h, t in pages.items()], "html string, want string")
+    for row in rows.select("html", "want", urls.visible_text(F.col("html")).alias("got")).collect():
+        assert row.got == row.want, row.html
+
+
+def test_page_outcomes(spark, plan):
+    fine = "<p>" + "the river and the house of stone " * 12 + "</p>"
+    rows = [
+        (1, "http://a.net/1", fine, False),
+        (2, "http://a.net/2", "<p>" + "$$$ buy ### now " * 9 + "</p>", True),
+        (3, "http://big-casino.example.net/1", fine, True),
+        (4, "http://a.net/casino", fine, False),
+        (5, "http://alphabet.net/", fine, False),
+        (None, None, None, False),
+        (6, "http://a.net/3", "", False),
+        (6, "http://a.net/3", "", False),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, want boolean")
+    got = urls.page_outcomes(pages)
+    assert got.columns == ["page_id", "bad"] and not re.search("Python|Arrow|Exchange", plan(got))
+    assert sorted(map(repr, [(r.page_id, r.bad) for r in got.collect()])) == sorted(repr((r[0], r[3])) for r in rows)
+    assert not urls.page_outcomes(pages, unwanted=()).where("page_id = 3").first().bad
+    assert urls.page_outcomes(pages.limit(0)).collect() == []
+
+
+def test_query_blocks_by_reputation(spark):
+    judged = queries.QUERIES["op4_url_filters"](spark, "/root/testdata/sf0.01")
+    verdicts = {r.verdict: r.hosts for r in judged.where("rule IS NULL").groupBy("verdict").agg(F.collect_set("host").alias("hosts")).collect()}
+    # Hosts that say what they sell are blocked, and only few others.
+    assert "www.cheap-pills.example.com" in verdicts["block"]
+    assert len(verdicts["block"]) < len(verdicts["allow"]) / 4

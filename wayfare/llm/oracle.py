@@ -4,22 +4,44 @@ from __future__ import annotations
 
 from wayfare.llm.quality import STOP_WORDS
 from wayfare.llm.queries import MIX_SEED
+from wayfare.llm.urls import UNWANTED
 
 ORACLE: dict[str, str] = {}
 
 # Words: runs of anything but the six spaces.
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
-ORACLE["op4_url_filters"] = r"""
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_UNWANTED = ", ".join(f"'{w}'" for w in UNWANTED)
+
+ORACLE["op4_url_filters"] = rf"""
 WITH parsed AS (
     SELECT page_id,
         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
     FROM pages),
+seen AS (
+    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+        '(?is)<script[^<>]*>.*?(?:</script[^<>]*>|\z)', ' ', 'g'),
+        '(?is)<style[^<>]*>.*?(?:</style[^<>]*>|\z)', ' ', 'g'),
+        '(?s)<!--.*?(?:-->|\z)', ' ', 'g'), '<[^<>]*>', ' ', 'g'), '&#?[0-9A-Za-z]{{1,10}};', ' ', 'g') AS text
+    FROM pages),
+split AS (
+    SELECT page_id, text, {_WORDS.format(text="text")} AS w, list_filter(string_split(text, chr(10)),
+        lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM seen),
+broken AS (
+    SELECT page_id, NOT (length(array_to_string(w, '')) BETWEEN 2 * len(w) AND 15 * len(w)
+        AND length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) <= 0.1::DOUBLE * len(w)
+        AND length(regexp_replace(text, '[^!]', '', 'g')) <= 0.3::DOUBLE * len(w)
+        AND (len(w) < 50 OR len(list_filter(w, lambda x: rtrim(lower(x), '.,;:!?') IN ({_STOPS})))
+            >= 0.03::DOUBLE * len(w))
+        AND len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) <= 0.2::DOUBLE * len(w)
+        AND len(lines) - len(list_distinct(lines)) <= 0.5::DOUBLE * len(lines)) AS broken
+    FROM split),
 labelled AS (
-    SELECT host, CAST(quality = 0 OR toxic = 1 AS INT) AS bad
-    FROM parsed LEFT JOIN labels ON page_id = doc_id),
+    SELECT host, CAST(broken OR list_has_any(string_split_regex(host, '[^a-z]+'), [{_UNWANTED}]) AS INT) AS bad
+    FROM parsed JOIN broken USING (page_id)),
 named AS (
     SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
         string_split(host, '.') AS labels FROM labelled GROUP BY host),
@@ -112,7 +134,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 ORACLE["op8_quality_rules"] = rf"""
 WITH split AS (
     SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format(text="coalesce(text, '')")} AS w,

@@ -99,15 +99,13 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page judged by the rules, else by its host's reputation.
 
-    A page is labelled by the document of the same number: bad if of low
-    quality or toxic. These numberings have nothing to do with each other and there are no
-    labels of pages, so what a host's reputation says is not meaningful.
+    The labels that reputations are learned from come from the pages themselves: a page
+    is bad if its visible text breaks the threshold table of the quality rules or if
+    its host names an unwanted trade.
     """
-    pages = table(spark, folder, "pages").select("page_id", "url")
-    outcomes = table(spark, folder, "labels").select(
-        F.col("doc_id").alias("page_id"), F.expr("quality = 0 OR toxic = 1").alias("bad")
-    )
-    return urls.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    judged = urls.judge(pages.drop("html"), urls.page_outcomes(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 @query

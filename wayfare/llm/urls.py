@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.llm import quality
 from wayfare.llm.common import ascii_lower
 from wayfare.session import written
 
@@ -40,6 +41,10 @@ RULES = (
 LONG_SUFFIXES = ("co.uk", "com.au", "co.jp", "com.br")
 
 
+# Words of a host, alone or beside others, that name unwanted trades; extend by parameter.
+UNWANTED = ("bet", "bets", "casino", "escort", "loans", "pills", "poker", "porn", "spam", "viagra", "xxx")
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Both empty for null and for a URL without ``://``."""
     pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -47,6 +52,44 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(text, pattern, 1)), F.regexp_extract(text, pattern, 2)
 
 
+def visible_text(html: Column) -> Column:
+    """What is left of a page without scripts, styles, comments and tags; empty for null.
+
+    What is not closed runs to the end. Tags, and references to characters such as
+    ``&amp;``, become a space.
+    """
+    text = F.coalesce(html, F.lit(""))
+    for hidden in (
+        r"(?is)<script[^<>]*>.*?(?:</script[^<>]*>|\z)",
+        r"(?is)<style[^<>]*>.*?(?:</style[^<>]*>|\z)",
+        r"(?s)<!--.*?(?:-->|\z)",
+        r"<[^<>]*>",
+        r"&#?[0-9A-Za-z]{1,10};",
+    ):
+        text = F.regexp_replace(text, hidden, " ")
+    return text
+
+
+def page_outcomes(
+    pages: DataFrame,
+    key: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    unwanted: Sequence[str] = UNWANTED,
+) -> DataFrame:
+    """``key`` and ``bad`` for each page, judged by what it says and where it lies.
+
+    A page is bad if its visible text breaks the threshold table of the quality rules
+    or if a word of its host is unwanted. Words of a host are its runs of letters.
+    A page without text breaks no threshold; null URLs and pages count as empty.
+    Repeated rows and null keys stay, an empty table stays empty. One projection.
+    """
+    host, _ = host_and_path(F.col(url))
+    text = quality.passes(quality.measures(visible_text(F.col(html))))
+    named = F.arrays_overlap(F.split(host, "[^a-z]+"), F.array(*map(F.lit, unwanted))) if unwanted else F.lit(False)
+    return pages.select(F.col(key), (~text | named).alias("bad"))
+
+
 def domain_and_suffix(host: Column, long_suffixes: Sequence[str]) -> tuple[Column, Column]:
     """The registered domain and the public suffix of a host, by label count.
 
