@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm import quality
-from wayfare.llm.common import ascii_lower
+from wayfare.llm.common import ascii_lower, let
 from wayfare.session import written
 
 
@@ -85,9 +85,9 @@ def page_outcomes(
     Repeated rows and null keys stay, an empty table stays empty. One projection.
     """
     host, _ = host_and_path(F.col(url))
-    text = quality.passes(quality.measures(visible_text(F.col(html))))
+    fine = let(quality.measures(visible_text(F.col(html))), lambda found: quality.passes(found))
     named = F.arrays_overlap(F.split(host, "[^a-z]+"), F.array(*map(F.lit, unwanted))) if unwanted else F.lit(False)
-    return pages.select(F.col(key), (~text | named).alias("bad"))
+    return pages.select(F.col(key), (~fine | named).alias("bad"))
 
 
 def domain_and_suffix(host: Column, long_suffixes: Sequence[str]) -> tuple[Column, Column]:
