@@ -93,27 +93,26 @@ def _count(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
-def measures(text: Column) -> Column:
-    """A struct of counts of one text; null counts as empty."""
+def measures(text: Column, but: Sequence[str] = ()) -> Column:
+    """A struct of counts of one text, all ``but`` those named; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
 
     def of(ws: Column, lines: Column) -> Column:
         stripped = F.filter(
             ws, lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")).isin(*STOP_WORDS)
         )
-        return F.struct(
-            F.size(ws).cast("long").alias("n_words"),
-            F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
-            _count(text, SYMBOLS).alias("n_symbols"),
-            _count(text, "!").alias("n_exclamations"),
-            F.size(lines).cast("long").alias("n_lines"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            repeated_words(ws).alias("n_repeat_words"),
-            F.size(stripped).cast("long").alias("n_stop_words"),
-            F.size(F.filter(ws, lambda w, k: F.coalesce(F.get(ws, k - 1) == w, F.lit(False))))
-            .cast("long")
-            .alias("n_same_word"),
-        )
+        counts = {
+            "n_words": F.size(ws),
+            "word_chars": F.length(F.translate(text, SPACES, "")),
+            "n_symbols": _count(text, SYMBOLS),
+            "n_exclamations": _count(text, "!"),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": repeated_words(ws),
+            "n_stop_words": F.size(stripped),
+            "n_same_word": F.size(F.filter(ws, lambda w, k: F.coalesce(F.get(ws, k - 1) == w, F.lit(False)))),
+        }
+        return F.struct(*[n.cast("long").alias(name) for name, n in counts.items() if name not in but])
 
     lines = F.filter(
         F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(SPACES))) > 0

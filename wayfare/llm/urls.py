@@ -85,9 +85,16 @@ def page_outcomes(
     Repeated rows and null keys stay, an empty table stays empty. One projection.
     """
     host, _ = host_and_path(F.col(url))
-    fine = let(quality.measures(visible_text(F.col(html))), lambda found: quality.passes(found))
+    # Each text is made once and each verdict is known not to be null, or the planner
+    # would write the text into every count, and the verdict into a filter.
+    fine = let(
+        visible_text(F.col(html)),
+        lambda text: let(
+            quality.measures(text, but=["n_repeat_words"]), lambda found: quality.passes(found)
+        ),
+    )
     named = F.arrays_overlap(F.split(host, "[^a-z]+"), F.array(*map(F.lit, unwanted))) if unwanted else F.lit(False)
-    return pages.select(F.col(key), (~fine | named).alias("bad"))
+    return pages.select(F.col(key), F.coalesce(~fine | named, F.lit(False)).alias("bad"))
 
 
 def domain_and_suffix(host: Column, long_suffixes: Sequence[str]) -> tuple[Column, Column]:
