@@ -4,7 +4,10 @@ import struct
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wayfare.llm import bpe, queries
@@ -59,6 +62,39 @@ def test_against_the_tokenizer(spark, ranks, reference, block, long, known):
     assert {r[1] for r in got} == {"extra"}
 
 
+# Letters of contractions, apostrophes, all kinds of space, numbers, marks, signs.
+CHARACTERS = st.one_of(
+    st.sampled_from("''stmdrevlSTaé漢ſ 　\t\n\x0b\x1c\x85\xa0\u2028\ufeff0٣²Ⅷ!_-\u0301😀\x00"),
+    st.characters(exclude_categories=["Cs"]),
+)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.text(CHARACTERS, max_size=30), min_size=1, max_size=4))
+def test_words_of_classes_are_those_of_the_pattern(texts):
+    want, counts = bpe.pattern_words(regex.compile(bpe.CLASS_PATTERN), texts)
+    got, own = bpe.class_words(texts)
+    assert got.to_pylist() == want.to_pylist()
+    assert own.tolist() == counts.tolist()
+
+
+def test_classes_are_those_of_the_vocabulary_and_cover_all_code_points():
+    assert bpe.CLASS_PATTERN == public_tokenizers.PATTERN
+    find = regex.compile(bpe.CLASS_PATTERN)
+    points = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    for around in ("a{}a", "1{}1", " {} ", "'{}s", "!{}"):
+        texts = [around.format(c) for c in points[::7]]
+        want, _ = bpe.pattern_words(find, texts)
+        assert bpe.class_words(texts)[0].equals(want)
+
+
+def test_other_patterns_are_scanned(spark, ranks):
+    docs = spark.createDataFrame([(1, "ab cd"), (2, None)], "doc_id int, text string")
+    whole = tiktoken.Encoding("w", pat_str=r"(?s).+", mergeable_ranks=ranks.rank, special_tokens={})
+    got = {r.doc_id: r.ids for r in bpe.encode(docs, ranks, r"(?s).+").collect()}
+    assert got == {1: whole.encode_ordinary("ab cd"), 2: []}
+
+
 def test_heap_against_the_tokenizer(ranks):
     whole = tiktoken.Encoding("w", pat_str=r"(?s).+", mergeable_ranks=ranks.rank, special_tokens={})
     for text in TEXTS:

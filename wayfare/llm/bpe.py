@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -10,6 +11,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,6 +180,107 @@ def merged_by_heap(ids: Sequence[int], merges: dict[tuple[int, int], int]) -> li
     return [k for k in ids if k >= 0]
 
 
+# --- words of texts --------------------------------------------------------
+
+# Fixed value: the pattern of the vocabularies whose words are found without a scan.
+CLASS_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+LETTER, NUMBER, SPACE, OTHER, END = range(5)
+_END = 0x110000  # no code point, so it can stand for the end of a text
+# Characters that are cut at once; a longer text is cut by itself.
+_CHUNK = 1 << 20
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The class of each code point in ``CLASS_PATTERN``, and of the end of a text."""
+    points = np.concatenate((np.arange(0xD800), np.arange(0xE000, _END)))
+    every = points.astype("<u4").tobytes().decode("utf-32-le")
+    kinds = np.full(_END + 1, OTHER, np.uint8)
+    for kind, runs in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for run in regex.finditer(runs, every):
+            kinds[points[run.start() : run.end()]] = kind
+    kinds[_END] = END
+    return kinds
+
+
+def _begins(points: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Which code points begin a word of ``CLASS_PATTERN``; each text ends with ``_END``.
+
+    Words are runs of one class, with three exceptions: of white space before a
+    word the last character stands alone, a plain space there belongs to the word,
+    and an apostrophe that begins a word takes the letters of a contraction along.
+    """
+    begins = np.ones(len(points), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == END)
+    last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & (kind[1:] != END))
+    begins[last] = True
+    begins[last[points[last] == ord(" ")] + 1] = False
+    quote = np.flatnonzero((points == ord("'")) & begins)
+    quote = quote[kind[quote + 1] == LETTER]
+    # A letter is never the end, so there is one more code point.
+    one, two = points[quote + 1], points[quote + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    pairs = [(one == ord(a)) & (two == ord(b)) for a, b in ("re", "ve", "ll")]
+    long = np.logical_or.reduce(pairs)
+    begins[quote[short | long] + 1] = False
+    begins[quote[short] + 2] = True
+    begins[quote[long] + 3] = True
+    return begins
+
+
+def class_words(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """All words of ``CLASS_PATTERN`` in order, and how many each text has."""
+    joined = "".join(texts)
+    ends = np.cumsum([len(t) for t in texts])
+    points = np.insert(np.frombuffer(joined.encode("utf-32-le"), np.uint32), ends, _END)
+    kind = _kinds()[points]
+    starts = np.flatnonzero(_begins(points, kind) & (kind != END))
+    # Bytes of a code point in UTF-8; an end has none.
+    size = np.ones(len(points), np.int32)
+    for least in (0x80, 0x800, 0x10000):
+        size += points >= least
+    size[kind == END] = 0
+    before = np.concatenate((np.zeros(1, np.int32), np.cumsum(size, dtype=np.int32)))
+    offsets = np.append(before[starts], before[-1]).astype(np.int32)
+    words = pa.StringArray.from_buffers(
+        len(starts), pa.py_buffer(offsets), pa.py_buffer(joined.encode())
+    )
+    return words, np.diff(np.searchsorted(starts, np.flatnonzero(kind == END)), prepend=0)
+
+
+def pattern_words(find: regex.Pattern, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """All matches in order, and how many each text has."""
+    found = [[m[0] for m in find.finditer(text)] for text in texts]
+    words = pa.array([w for ws in found for w in ws], pa.string())
+    return words, np.array([len(ws) for ws in found], dtype=np.int64)
+
+
+def _spans(lengths: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Texts one after the other, each span closed once it holds ``size``."""
+    start, held = 0, 0
+    for k, length in enumerate(lengths.tolist()):
+        held += length
+        if held >= size or k == len(lengths) - 1:
+            yield start, k + 1
+            start, held = k + 1, 0
+
+
+def _lengths(texts: pa.Array) -> np.ndarray:
+    return pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+
+
+def cut_texts(texts: pa.Array, pattern: str) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words of some of the texts at a time, and how many each of these has."""
+    if pattern == CLASS_PATTERN:
+        cut = class_words
+    else:
+        cut = functools.partial(pattern_words, regex.compile(pattern))
+    for start, stop in _spans(_lengths(texts), _CHUNK):
+        yield cut(texts[start:stop].to_pylist())
+
+
 # --- documents in blocks ---------------------------------------------------
 
 
@@ -188,24 +291,22 @@ class Words:
     table: bytes
 
     @cached_property
-    def _open(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-        table = pa.ipc.open_stream(self.table).read_all().combine_chunks()
-        if not table.num_rows:
-            return {}, np.zeros(1, np.int32), np.zeros(0, np.int32)
-        lists = table["ids"].chunk(0)
-        places = {word: k for k, word in enumerate(table["words"].to_pylist())}
-        return places, lists.offsets.to_numpy(), lists.values.to_numpy()
-
-    def ids(self, word: str) -> list[int] | None:
-        places, offsets, flat = self._open
-        k = places.get(word)
-        return None if k is None else flat[offsets[k] : offsets[k + 1]].tolist()
+    def columns(self) -> tuple[pa.Array, pa.Array]:
+        table = pa.ipc.open_stream(self.table).read_all()
+        words, ids = (pa.concat_arrays(table[name].chunks) if table.num_rows else None for name in ("words", "ids"))
+        if words is None:
+            return pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
+        return words.cast(pa.string()), ids.cast(pa.list_(pa.int32()))
 
 
-def _byte_lists(words: Sequence[bytes], ranks: Ranks) -> pa.Array:
-    flat = ranks.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-    offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def _byte_lists(words: pa.Array, ranks: Ranks) -> pa.Array:
+    """The ids of the bytes of each word."""
+    if not len(words):
+        return pa.array([], pa.list_(pa.int32()))
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(ranks.byte_ids[data]))
 
 
 def _one(values: pa.Array) -> pa.Array:
@@ -221,21 +322,24 @@ def repeated_words(
     Those in most blocks, by steps of a quarter power of two. All words of all documents
     are counted; each task sends a word once per block.
     """
-    find = regex.compile(pattern).finditer
+
+    def once(seen: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pc.unique(pa.concat_arrays(seen))], names=["word"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
+        seen: list[pa.Array] = []
         held = 0
         for batch in batches:
-            for said in batch["bpe__text"]:
-                said = said.as_py() or ""
-                seen.update(m[0] for m in find(said))
-                held += len(said)
+            texts = batch["bpe__text"].cast(pa.string()).fill_null("")
+            for start, stop in _spans(_lengths(texts), min(size, _CHUNK)):
+                part = texts[start:stop]
+                seen += [pc.unique(words) for words, _ in cut_texts(part, pattern)]
+                held += int(_lengths(part).sum())
                 if held >= size:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
-                    seen, held = set(), 0
+                    yield once(seen)
+                    seen, held = [], 0
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+            yield once(seen)
 
     words = docs.select(F.col(text).alias("bpe__text")).mapInArrow(rows, "word string")
     step = F.floor(F.log2("n") * 4).cast("int")
@@ -257,8 +361,7 @@ def merged_words(words: DataFrame, ranks: Ranks, found: RankMap) -> Words:
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             said = batch["word"].cast(pa.string())
-            starts = _byte_lists([w.as_py().encode() for w in said], ranks)
-            yield pa.RecordBatch.from_arrays([_one(said), _one(starts)], names=["words", "starts"])
+            yield pa.RecordBatch.from_arrays([_one(said), _one(_byte_lists(said, ranks))], names=["words", "starts"])
 
     lists = words.mapInArrow(grouped, "words array<string>, starts array<array<int>>")
     folded = lists.select(
@@ -288,48 +391,49 @@ def blocks(
     ``words`` has the distinct words of the block as arrays of byte ids, and
     ``docs`` each document's kept columns with its words as places in that array.
     A block is never larger than an Arrow batch; one long document is a block of
-    its own. Known words, words above ``long`` bytes and words that are pieces
+    its own. Words that are pieces, known words and words above ``long`` bytes
     come with their merges done, in ``merged``.
     """
-    find = regex.compile(pattern).findall
     kept = [docs.schema[name] for name in keep]
     ids, idss = T.ArrayType(T.IntegerType()), T.ArrayType(T.ArrayType(T.IntegerType()))
     of_doc = T.StructType([*kept, T.StructField("bpe__words", ids)])
     schema = T.StructType().add("words", idss).add("merged", idss).add("docs", T.ArrayType(of_doc))
 
-    def merged(word: str) -> list[int] | None:
-        if (ids := known.ids(word)) is not None:
-            return ids
-        data = word.encode()
-        if (whole := ranks.rank.get(data)) is not None:
-            return [whole]
-        if len(data) > long:
-            return merged_by_heap(ranks.byte_ids[np.frombuffer(data, dtype=np.uint8)].tolist(), ranks.merges)
-        return None
-
-    def block(rows: pa.RecordBatch, used: list[np.ndarray], places: dict[str, int]) -> pa.RecordBatch:
-        done = [merged(w) for w in places]
-        starts = _byte_lists([b"" if m is not None else w.encode() for w, m in zip(places, done)], ranks)
-        offsets = np.concatenate(([0], np.cumsum([len(u) for u in used]))).astype(np.int32)
-        flat = np.concatenate(used) if used else np.zeros(0, np.int32)
-        placed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-        names = [f.name for f in of_doc]
-        whole = pa.StructArray.from_arrays([*[rows[name] for name in keep], placed], names=names)
-        arrays = [_one(starts), _one(pa.array(done, pa.list_(pa.int32()))), _one(whole)]
-        return pa.RecordBatch.from_arrays(arrays, names=["words", "merged", "docs"])
+    def by_heap(word: bytes) -> list[int]:
+        return merged_by_heap(ranks.byte_ids[np.frombuffer(word, dtype=np.uint8)].tolist(), ranks.merges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, (of_known, known_ids) = pa.array(ranks.pieces, pa.binary()), known.columns
+        whole = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(pieces) + 1, dtype=np.int32)), pa.array(np.arange(len(pieces), dtype=np.int32))
+        )
+        done = pa.concat_arrays([whole, known_ids])
+
+        def block(rows: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+            parts = list(cut_texts(texts, pattern))
+            coded = pa.concat_arrays([words for words, _ in parts]).dictionary_encode()
+            distinct, used = coded.dictionary, coded.indices.cast(pa.int32())
+            offsets = np.concatenate(([0], np.cumsum(np.concatenate([n for _, n in parts])))).astype(np.int32)
+            placed = pa.ListArray.from_arrays(pa.array(offsets), used)
+
+            in_known = pc.add(pc.index_in(distinct, value_set=of_known), pa.scalar(len(pieces), pa.int32()))
+            at = pc.coalesce(pc.index_in(distinct.cast(pa.binary()), value_set=pieces), in_known)
+            slow = pc.and_(pc.is_null(at), pc.greater(pc.binary_length(distinct), long))
+            merged = done
+            if count := pc.sum(slow).as_py():
+                lists = [by_heap(w.encode()) for w in distinct.filter(slow).to_pylist()]
+                merged = pa.concat_arrays([done, pa.array(lists, pa.list_(pa.int32()))])
+                at = pc.replace_with_mask(at, slow, pa.array(range(len(done), len(done) + count), pa.int32()))
+            starts = _byte_lists(pc.if_else(pc.is_valid(at), "", distinct), ranks)
+            names = [f.name for f in of_doc]
+            said = pa.StructArray.from_arrays([*[rows[name] for name in keep], placed], names=names)
+            arrays = [_one(starts), _one(merged.take(at)), _one(said)]
+            return pa.RecordBatch.from_arrays(arrays, names=["words", "merged", "docs"])
+
         for batch in batches:
-            used: list[np.ndarray] = []
-            places: dict[str, int] = {}
-            start, held = 0, 0
-            for k, said in enumerate(batch["bpe__text"]):
-                said = said.as_py() or ""
-                used.append(np.array([places.setdefault(w, len(places)) for w in find(said)], dtype=np.int32))
-                held += len(said)
-                if held >= size or k == batch.num_rows - 1:
-                    yield block(batch.slice(start, k + 1 - start), used, places)
-                    used, places, start, held = [], {}, k + 1, 0
+            texts = batch["bpe__text"].cast(pa.string()).fill_null("")
+            for start, stop in _spans(_lengths(texts), size):
+                yield block(batch.slice(start, stop - start), texts[start:stop])
 
     rows = docs.select(*[F.col(name) for name in keep], F.col(text).alias("bpe__text"))
     return rows.mapInArrow(cut, schema)
@@ -349,7 +453,8 @@ def encode(
     """The kept columns and ``into``, the ids of each whole text.
 
     ``pattern`` cuts the text into words and is expected to match all of it; the
-    bytes of each word are merged by rank. Words found in several blocks of documents,
+    bytes of each word are merged by rank. Words of ``CLASS_PATTERN`` are found for
+    whole columns from the classes of code points, those of other patterns by a scan. Words found in several blocks of documents,
     ``most_known`` of them at most, are folded once and given to all tasks. Then
     documents are taken in blocks within their task, each other distinct word of a
     block is folded there, and documents are put together from the results. No
