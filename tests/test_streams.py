@@ -183,6 +183,31 @@ def test_repeated_events_raise_no_other_alarms(spark, folder, name, form):
     assert sorted(row[1] for row in got) == sorted(row["ride_id"] for row in batch.collect())
 
 
+def test_alarm_state_is_asked_for_by_bucket_not_by_ride(spark, folder):
+    first = [ride(n, True, n % 50) for n in range(400)]
+    second = [ride(n, False, 3000, n % 50) for n in range(0, 400, 2)] + [ride(900, True, 3000)]
+    path = put(spark, folder, [first, second, [ride(901, True, 10 * HOUR)]], RIDE)
+    got, query = run(alarms.long_rides_stateful(files.ride_stream(spark, path, 1), buckets=4), folder)
+    # A bucket is one value and has one timer, so state is changed a few times for it.
+    changed = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress]
+    assert max(changed) <= 4 * 6
+    batch = ride_plans.long_rides(spark.read.schema(RIDE).parquet(path))
+    fields = [name for name in batch.columns if name != "end_time"]
+    want = sorted(tuple(row) for row in batch.select(*fields).collect())
+    assert len(want) == 201
+    at = [1 + batch.columns.index(name) for name in fields]
+    assert sorted(tuple(row[n] for n in at) for row in got) == want
+
+
+def test_alarms_of_large_ids_and_of_rides_without_one(spark, folder):
+    big = (1 << 62) + 1
+    nobody = [(None, *ride(0, True, at)[1:]) for at in (5, 3)]  # one ride, with its first START
+    batches = [[ride(big, True, 0), ride(big - 1, True, 0)], nobody, [ride(big - 1, False, 60, 0)], [ride(1, True, 10 * HOUR)]]
+    path = put(spark, folder, batches, RIDE)
+    got, _ = run(alarms.long_rides_stateful(files.ride_stream(spark, path, 1)), folder)
+    assert sorted((str(row[1]), row[3]) for row in got) == [(str(big), T0), ("None", T0 + timedelta(seconds=3))]
+
+
 # --- windows and joins ------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -54,6 +55,8 @@ PLACE = "start_lon float, start_lat float, end_lon float, end_lat float"
 PARTY = "passenger_cnt smallint, taxi_id bigint, driver_id bigint"
 PACKED = f"ride_id bigint, start_us bigint, end_us bigint, {PLACE}, {PARTY}"
 DETAILS = [part.split()[0] for part in f"{PLACE}, {PARTY}".split(", ")]
+#: The bucket of events without a ride's id, which are taken as one ride.
+NO_RIDE_ID = -1
 
 
 def combine_rides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,73 +77,107 @@ def combine_rides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rides[["ride_id", "start_us", "end_us", *DETAILS]]
 
 
+# What the state holds of a ride, and how pandas has its numbers, which may be missing.
+_RIDES = pa.schema(
+    [
+        ("ride_id", pa.int64()), ("start_us", pa.int64()), ("end_us", pa.int64()),
+        *[(name, pa.float32()) for name in DETAILS[:4]],
+        ("passenger_cnt", pa.int16()), ("taxi_id", pa.int64()), ("driver_id", pa.int64()),
+    ]
+)
+_NUMBERS = {pa.int64(): pd.Int64Dtype(), pa.int16(): pd.Int16Dtype()}
+
+
+def _batch(rides: pd.DataFrame) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pandas(rides[_RIDES.names], _RIDES, preserve_index=False)
+
+
+def _unpacked(state: bytes) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(state), _RIDES)
+
+
+def _frame(batches: list[pa.RecordBatch]) -> pd.DataFrame:
+    return pa.Table.from_batches(batches, _RIDES).to_pandas(types_mapper=_NUMBERS.get)
+
+
+def _merged(rides: pd.DataFrame) -> pd.DataFrame:
+    """One row per ride: its first START with that one's details, and its first END.
+
+    Of equal STARTs the one above stays.
+    """
+    ended = rides.groupby("ride_id")["end_us"].min()
+    first = rides.sort_values("start_us", kind="stable").drop_duplicates("ride_id")
+    return first.assign(end_us=first["ride_id"].map(ended).astype("Int64"))
+
+
+def _timers(rides: pd.DataFrame) -> pd.Series:
+    """When to give up waiting, in milliseconds: a START at its deadline, an END at its
+    own time, as no START can come after it."""
+    return (rides["start_us"] + ALARM_MICROS).fillna(rides["end_us"]) // 1000
+
+
 class LongRideAlarm(StatefulProcessor):
-    """Keeps the first START and END of a ride until the START's deadline.
+    """Keeps the first START and END of each ride of a bucket until the START's deadline.
 
-    A ride that ended in time is kept as well, so that a repeated event finds
-    it. A START whose deadline the watermark has passed is late and ignored.
+    The rides of a bucket are one value, worked on as columns, and have one timer, that
+    of the first ride to give up. A ride that ended in time is kept as well, so that a
+    repeated event finds it. A START whose deadline the watermark has passed is late
+    and ignored.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ride = handle.getValueState("ride", f"start_us bigint, end_us bigint, {PLACE}, {PARTY}")
+        self.bucket = handle.getValueState("bucket", "timer bigint, rides binary")
+
+    def _keep(self, rides: pd.DataFrame) -> None:
+        timer = int(_timers(rides).min())
+        self.bucket.update((timer, _batch(rides).serialize().to_pybytes()))
+        self.handle.registerTimer(timer)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.ride.get() if self.ride.exists() else None
-        start, end, details = (held[0], held[1], held[2:]) if held else (None, None, None)
-        timer = _timer(start, end)
         late = timerValues.getCurrentWatermarkInMs() * 1000
-        for part in rows:
-            # One row per ride and Arrow batch.
-            for row in part.itertuples(index=False):
-                if not pd.isna(row.start_us) and row.start_us >= late and (start is None or row.start_us < start):
-                    start = int(row.start_us)
-                    details = tuple(getattr(row, name) for name in DETAILS)
-                if not pd.isna(row.end_us) and (end is None or row.end_us < end):
-                    end = int(row.end_us)
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        if start is not None or end is not None:
-            details = (None,) * len(DETAILS) if details is None else details
-            self.ride.update((start, end, *_plain(details)))
-            self.handle.registerTimer(_timer(start, end))
+        new = _frame([_batch(part) for part in rows])
+        new["start_us"] = new["start_us"].where((new["start_us"] >= late).fillna(False).astype(bool))
+        new = new[new["start_us"].notna() | new["end_us"].notna()]
+        if len(new):
+            if self.bucket.exists():
+                timer, held = self.bucket.get()
+                self.handle.deleteTimer(timer)
+                new = _frame([_unpacked(held), _batch(new)])
+            self._keep(_merged(new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.ride.exists():
-            start, end, *details = self.ride.get()
-            self.ride.clear()
-            if start is not None and (end is None or end > start + ALARM_MICROS):
-                yield _alarm(key, start, details)
+        if not self.bucket.exists():
+            return
+        rides = _frame([_unpacked(self.bucket.get()[1])])
+        due = (_timers(rides) <= timerValues.getCurrentWatermarkInMs()).astype(bool)
+        if due.all():
+            self.bucket.clear()
+        else:
+            self._keep(rides[~due])
+        gone = rides[due & rides["start_us"].notna()]
+        alarms = gone[(gone["end_us"].isna() | (gone["end_us"] > gone["start_us"] + ALARM_MICROS)).astype(bool)]
+        if len(alarms):
+            none = pd.array([None] * len(alarms), "Int64")
+            ride_id = none if key[0] == NO_RIDE_ID else alarms["ride_id"]
+            yield alarms.assign(ride_id=ride_id, end_us=none)
 
     def close(self) -> None:
         pass
 
 
-def _timer(start: int | None, end: int | None) -> int | None:
-    """When to give up waiting: a START at its deadline, an END at its own time,
-    as no START can come after it. In milliseconds."""
-    if start is not None:
-        return (start + ALARM_MICROS) // 1000
-    return None if end is None else end // 1000
-
-
-def _plain(details) -> tuple:
-    lon1, lat1, lon2, lat2, *party = details
-    floats = [None if x is None or pd.isna(x) else float(x) for x in (lon1, lat1, lon2, lat2)]
-    return (*floats, *[None if x is None or pd.isna(x) else int(x) for x in party])
-
-
-def _alarm(key, start: int, details) -> pd.DataFrame:
-    values = dict(zip(DETAILS, _plain(details)))
-    return pd.DataFrame([{"ride_id": key[0], "start_us": start, "end_us": None, **values}])
-
-
-def long_rides_stateful(rides: DataFrame, delay: str = NO_DELAY) -> DataFrame:
+def long_rides_stateful(
+    rides: DataFrame, delay: str = NO_DELAY, buckets: int = 1024
+) -> DataFrame:
     """The same alarms from keyed state and event-time timers of our own.
 
     Needs the RocksDB state store. ``long_rides_stream`` is faster; this form is
-    for rules a join cannot say.
+    for rules a join cannot say. Each call of Python for a key, its state or its timer
+    costs far more than a row, so rides are kept by ``buckets`` of their ids: a batch
+    asks for the state of each bucket once, however many rides it has, and a task holds
+    the open rides of one bucket. Their number must stay the same while a checkpoint
+    is in use.
     """
     events = timed_rides(rides, delay)
     narrow = events.where(
@@ -150,7 +187,12 @@ def long_rides_stateful(rides: DataFrame, delay: str = NO_DELAY) -> DataFrame:
         F.unix_micros("event_time").alias("event_us"), *DETAILS,
     )
     parts = narrow.mapInPandas(combine_rides, PACKED)
-    alarms = parts.groupBy("ride_id").transformWithStateInPandas(
+    bucket = F.when(F.col("ride_id").isNull(), NO_RIDE_ID).otherwise(
+        F.pmod(F.xxhash64("ride_id"), F.lit(buckets)).cast("int")
+    )
+    # Without nulls, ids of rides stay whole numbers in pandas.
+    parts = parts.withColumns({"bucket": bucket, "ride_id": F.coalesce("ride_id", F.lit(0))})
+    alarms = parts.groupBy("bucket").transformWithStateInPandas(
         LongRideAlarm(), PACKED, "Append", "EventTime"
     )
     return alarms.select(
