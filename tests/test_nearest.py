@@ -1,10 +1,13 @@
 import math
 import random
+from unittest import mock
 
 import numpy as np
 import pytest
 
+from wayfare.operators import nearest as operator
 from wayfare.operators.nearest import nearest
+from wayfare.session import written
 
 POINT, PLACE = "p bigint, lon double, lat double", "q bigint, lon double, lat double"
 
@@ -79,3 +82,26 @@ def test_no_pair_of_all_points_and_places(spark, plan):
     found = nearest(points, spark.createDataFrame(scattered(5, 900), PLACE), 2, "p", "q", few=4)
     text = plan(found, run=True)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_a_point_is_written_once_not_with_each_cell_and_level(spark):
+    points, places = (spark.createDataFrame(scattered(n, 2000), schema) for n, schema in ((6, POINT), (7, PLACE)))
+    made = []
+
+    def kept(df, label):
+        made.append(written(df, label))
+        return made[-1]
+
+    with mock.patch.object(operator, "written", kept):
+        found = nearest(points, places, 3, "p", "q", few=16)
+    with_points = [df for df in made if "lon__" in df.columns and "fx__" not in df.columns]
+    assert sum(df.count() for df in with_points) == 2000
+    assert found.count() == 6000
+
+
+def test_leaves_of_all_sizes_and_points_outside(spark):
+    dense = [(n, -73.95 + (n % 25) * 2e-4, 40.75 + (n // 25) * 2e-4) for n in range(500)]
+    thin = [(9000 + n, lon, lat) for n, (_, lon, lat) in enumerate(scattered(8, 12, -75, 39, 3, 3))]
+    points = scattered(9, 40, -75.5, 38.5, 4, 4) + [(100 + n, -73.9525 + n * 1e-3, 40.7495) for n in range(12)]
+    for k, few in ((1, 2), (3, 40), (20, 6), (600, 8)):
+        check(spark, points, dense + thin, k, few=few)

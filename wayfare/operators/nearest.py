@@ -1,10 +1,11 @@
 """The nearest places of many points, by a tree of cells.
 
 Places are counted in cells, each cut four by four, down to cells with few places.
-All points go down the tree together, a level a round. A cell's places lie between
-a least and a greatest distance from a point; the greatest distances of the nearest
-cells that hold ``k`` places bound the ``k``-th one, and cells beyond it are left.
-So a point meets the places of a few small cells only, and none is missed.
+A point first goes down to one leaf near it and measures the places there: the ``k``-th
+distance bounds that of the answer. Then it goes down again to all leaves within that
+bound, mostly its own and one or two beside it, so a point meets the places of a few
+small cells only, and none is missed. Places of a leaf lie in an array, so that their
+distances are made and cut down to ``k`` where the leaf meets the point.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from wayfare.functions.geo import DEGREE_KM, distance_km
 from wayfare.session import written
 
-#: A level has at most 16 times the cells of the one before; three are at most 4,096 rows.
-SMALL_LEVELS = 3
+#: So many cells are broadcast: with what is inside them, and without.
+FEW_FULL, FEW_BARE = 4_096, 100_000
 DEEPEST = 14
 SPOT = ["lon__", "lat__"]
 CELL = ["level__", "x__", "y__"]
@@ -48,6 +49,33 @@ def _bounds(west: Column, south: Column, side: Column) -> tuple[Column, Column]:
     return DEGREE_KM * F.hypot(north_near, east_near * narrow), DEGREE_KM * F.hypot(north_far, east_far * wide)
 
 
+def _cut_cells(found: DataFrame, depth: int, few: int) -> tuple[int, list[tuple[DataFrame, int]]]:
+    """How many places there are, and by level the cells that are cut, and their number.
+
+    A cell that is cut comes with the cells inside it that have places, ``kids__``.
+    """
+    counts = found.groupBy(F.col("fx__").alias("x__"), F.col("fy__").alias("y__")).agg(
+        F.count(F.lit(1)).alias("n__")
+    )
+    counts, cut = written(counts, "cells"), []
+    up = [F.shiftright(name, 2).alias(f"p{name}") for name in ("x__", "y__")]
+    for level in range(depth - 1, -1, -1):
+        inside = counts.select("*", *up)
+        parents = inside.groupBy("px__", "py__").agg(F.sum("n__").alias("n__"))
+        parents = written(parents, "cells")
+        large = parents.where(F.col("n__") > few).select("px__", "py__")
+        if (count := large.count()) > 0:
+            large = F.broadcast(large) if count <= FEW_BARE else large
+            kid = F.struct(F.col("x__").alias("x"), F.col("y__").alias("y"), F.col("n__").alias("n"))
+            cells = inside.join(large, ["px__", "py__"]).groupBy("px__", "py__").agg(F.collect_list(kid).alias("kids__"))
+            cells = cells.select(
+                F.lit(level).alias("level__"), F.col("px__").alias("x__"), F.col("py__").alias("y__"), "kids__"
+            )
+            cut.insert(0, (written(cells, "cut"), count))
+        counts = parents.select(F.col("px__").alias("x__"), F.col("py__").alias("y__"), "n__")
+    return sum(row["n__"] for row in counts.collect()), cut
+
+
 def nearest(
     points: DataFrame,
     places: DataFrame,
@@ -69,15 +97,13 @@ def nearest(
 
     Cells with more than ``few`` places are cut until they are ``finest`` degrees wide.
     Of places at one spot the ``k`` of least key are enough, and points at one spot go
-    down once, so neither makes a large cell. Intermediate levels are written; the
-    first levels' cells are broadcast, 4,096 rows at most.
+    down once, so neither makes a large cell. Places, counts of cells, leaves and bounds
+    are written; cells that are cut are broadcast where they are few.
     """
     if k < 1:
         raise ValueError("k must be 1 or more")
     asked = _located(points, lon, lat).select(F.col(point), *SPOT)
     found = _located(places, lon, lat).select(F.col(place), *SPOT)
-    first = Window.partitionBy(*SPOT).orderBy(place)
-    found = found.withColumn("at__", F.row_number().over(first)).where(F.col("at__") <= k).drop("at__")
     west, east, south, north = found.agg(
         F.min("lon__"), F.max("lon__"), F.min("lat__"), F.max("lat__")
     ).first()
@@ -91,52 +117,80 @@ def nearest(
         steps = F.floor((F.col(axis).cast("double") - low) / (span / 4**depth))
         return F.greatest(F.lit(0), F.least(F.lit(last), steps)).cast("bigint")
 
+    def bounds(level: int, x: Column, y: Column) -> tuple[Column, Column]:
+        side = F.lit(span / 4**level)
+        return _bounds(west + x * side, south + y * side, side)
+
+    first = Window.partitionBy(*SPOT).orderBy(place)
+    found = found.withColumn("at__", F.row_number().over(first)).where(F.col("at__") <= k).drop("at__")
     found = written(found.withColumns({"fx__": cell("lon__", west), "fy__": cell("lat__", south)}), "places")
+    total, cut = _cut_cells(found, depth, few)
+
+    # Places by their leaves.
+    # From the one cell of level 0; its place is worked out, as a join on fixed values is none.
+    root = [F.shiftright(cell(*axis), 2 * depth) for axis in (("lon__", west), ("lat__", south))]
+    top = [F.lit(0).alias("level__"), root[0].alias("x__"), root[1].alias("y__")]
+    held = found.select("*", *top)
+    for level, (cells, count) in enumerate(cut):
+        bare = cells.select(*CELL, F.lit(True).alias("cut__"))
+        held = held.join(F.broadcast(bare) if count <= FEW_BARE else bare, CELL, "left")
+        up = 2 * (depth - level - 1)
+        below = {"level__": F.lit(level + 1), "x__": F.shiftright("fx__", up), "y__": F.shiftright("fy__", up)}
+        held = held.withColumns(
+            {name: F.when(F.col("cut__"), value).otherwise(F.col(name)) for name, value in below.items()}
+        ).drop("cut__")
+    spot = F.struct(F.col("lon__").alias("lon"), F.col("lat__").alias("lat"), F.col(place).alias("place"))
+    leaves = held.select(*CELL, spot.alias("spot__")).repartition(*CELL)
+    leaves = written(leaves.groupBy(*CELL).agg(F.collect_list("spot__").alias("spots__")), "leaves")
+
+    def length(to: Column) -> Column:
+        return F.round(distance_km(F.col("lon__"), F.col("lat__"), to["lon"], to["lat"]), 6)
+
+    def opened(rows: DataFrame, level: int) -> DataFrame:
+        cells, count = cut[level]
+        return rows.join(F.broadcast(cells) if count <= FEW_FULL else cells, CELL, "left")
+
+    # Down to the nearest of the cells inside, to one leaf.
+    _, most = bounds(0, F.lit(0), F.lit(0))
+    most = most if total >= k else F.lit(math.inf)
+    down = asked.select(*SPOT).distinct().select(*SPOT, most.alias("most__"), *top)
+    for level in range(len(cut)):
+
+        def seen(kid: Column) -> Column:
+            near, far = bounds(level + 1, kid["x"], kid["y"])
+            return F.struct(near.alias("near"), far.alias("far"), kid["x"].alias("x"), kid["y"].alias("y"), kid["n"].alias("n"))
+
+        down = opened(down, level).withColumn("kid__", F.array_min(F.transform("kids__", seen)))
+        down = down.select(
+            *SPOT,
+            F.least("most__", F.when(F.col("kid__.n") >= k, F.col("kid__.far"))).alias("most__"),
+            F.when(F.col("kid__").isNotNull(), level + 1).otherwise(F.col("level__")).alias("level__"),
+            *[F.coalesce(f"kid__.{axis}", f"{axis}__").alias(f"{axis}__") for axis in ("x", "y")],
+        )
+    kth = F.get(F.sort_array(F.transform("spots__", length)), k - 1)
+    bounded = down.join(leaves, CELL, "left").select(*SPOT, F.least("most__", kth).alias("most__"))
+    reached = written(bounded, "bounds").select("*", *top)
+
+    # Down to all leaves within the bound. A little more than it: distances are rounded,
+    # differences are floats.
+    for level in range(len(cut)):
+
+        def within(kid: Column) -> Column:
+            near, _ = bounds(level + 1, kid["x"], kid["y"])
+            return near <= F.col("most__") * (1 + 1e-6) + 1e-5
 
-    # How many places each cell of each level has; a leaf is not cut further.
-    smallest = written(found.groupBy("fx__", "fy__").agg(F.count(F.lit(1)).alias("n__")), "smallest")
-    at_levels = smallest.withColumn("level__", F.explode(F.sequence(F.lit(1), F.lit(depth))))
-    up = f"CAST(2 * ({depth} - level__) AS INT)"
-    at_levels = at_levels.withColumns(
-        {"x__": F.expr(f"shiftright(fx__, {up})"), "y__": F.expr(f"shiftright(fy__, {up})")}
+        def inner(kid: Column) -> Column:
+            return F.struct(F.lit(level + 1).alias("level__"), kid["x"].alias("x__"), kid["y"].alias("y__"))
+
+        inside = F.transform(F.filter("kids__", within), inner)
+        cells = F.when(F.col("kids__").isNull(), F.array(F.struct(*CELL))).otherwise(inside)
+        reached = opened(reached, level).select(*SPOT, "most__", F.inline_outer(cells)).where("x__ IS NOT NULL")
+
+    near_spots = F.sort_array(
+        F.transform("spots__", lambda to: F.struct(length(to).alias("distance"), to["place"].alias(place)))
     )
-    tree = at_levels.groupBy(*CELL).agg(F.sum("n__").alias("n__"))
-    tree = written(tree.withColumn("leaf__", (F.col("n__") <= few) | (F.col("level__") == depth)), "tree")
-
-    spots = asked.select(*SPOT).distinct()
-    reached = spots.select(
-        *SPOT, F.lit(0).alias("level__"), F.lit(0).cast("bigint").alias("x__"), F.lit(0).cast("bigint").alias("y__"),
-        F.lit(0).cast("bigint").alias("n__"), F.lit(False).alias("leaf__"),
-        F.lit(0.0).alias("near__"), F.lit(0.0).alias("far__"),
-    )
-    by_far = Window.partitionBy(*SPOT).orderBy("far__").rowsBetween(Window.unboundedPreceding, 0)
-    for level in range(1, depth + 1):
-        side = F.lit(span / 4**level)
-        cells = tree.where(F.col("level__") == level).withColumns(
-            {"px__": F.shiftright("x__", 2), "py__": F.shiftright("y__", 2)}
-        )
-        parents = reached.where("NOT leaf__").select(*SPOT, F.col("x__").alias("px__"), F.col("y__").alias("py__"))
-        cells = F.broadcast(cells) if level <= SMALL_LEVELS else cells
-        near, far = _bounds(west + F.col("x__") * side, south + F.col("y__") * side, side)
-        opened = parents.join(cells, ["px__", "py__"]).withColumns({"near__": near, "far__": far})
-        reached = opened.select(*reached.columns).unionAll(reached.where("leaf__"))
-        reached = reached.withColumn("held__", F.sum("n__").over(by_far))
-        enough = F.min(F.when(F.col("held__") >= k, F.col("far__"))).over(Window.partitionBy(*SPOT))
-        reached = reached.withColumn("most__", enough)
-        # A little more than the bound: distances are rounded, differences are floats.
-        in_reach = F.col("most__").isNull() | (F.col("near__") <= F.col("most__") * (1 + 1e-6) + 1e-5)
-        reached = written(reached.where(in_reach).drop("held__", "most__"), "reached")
-        if reached.where("NOT leaf__").isEmpty():
-            break
-
-    leaves = at_levels.select("fx__", "fy__", *CELL).join(tree.where("leaf__").select(*CELL), CELL)
-    leaves = leaves.groupBy("fx__", "fy__").agg(F.min_by(F.struct(*CELL), "level__").alias("leaf__"))
-    held = found.join(leaves, ["fx__", "fy__"]).select(
-        place, *[F.col(f"leaf__.{name}").alias(name) for name in CELL],
-        F.col("lon__").alias("to_lon__"), F.col("lat__").alias("to_lat__"),
-    )
-    length = distance_km(F.col("lon__"), F.col("lat__"), F.col("to_lon__"), F.col("to_lat__"))
-    met = reached.select(*SPOT, *CELL).join(held, CELL).withColumn("distance", F.round(length, 6))
+    met = reached.join(leaves, CELL).select(*SPOT, F.slice(near_spots, 1, k).alias("near__"))
+    met = met.select(*SPOT, F.inline_outer("near__"))
     order = Window.partitionBy(*SPOT).orderBy("distance", place)
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return asked.join(ranked, SPOT).select(point, place, "distance", "rank")
