@@ -147,3 +147,10 @@ def test_refuses_gaps(tmp_path):
     path.write_bytes(b"YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError, match="gap"):
         bpe.Ranks.read(str(path))
+
+
+def test_plan_does_not_hold_the_map_of_pairs(spark, ranks, plan):
+    docs = spark.range(5).selectExpr("id AS doc_id", "'t' AS text")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    assert len(plan(coded)) < 100_000
+    assert len(coded._jdf.queryExecution().toString()) < 400_000

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,7 +104,10 @@ class RankMap:
         self.owner, self.value = owner[:used], value[:used]
 
     def bound(self, body: Callable[[Sequence[Column]], Column]) -> Column:
-        """``body`` of the three arrays, each written into the plan once."""
+        """``body`` of the three arrays, each written into the plan once.
+
+        Every description of the plan then holds them too; see ``rank_arrays``.
+        """
 
         def literal(numbers: np.ndarray) -> Column:
             return F.split(F.lit(",".join(map(str, numbers.tolist()))), ",").cast("array<int>")
@@ -115,6 +118,37 @@ class RankMap:
         )
 
 
+ARRAYS = ("offset", "owner", "value")
+
+
+def rank_arrays(spark: SparkSession, ranks: Ranks) -> DataFrame:
+    """The arrays of the map of ``ranks`` as one written row, made in a task.
+
+    So neither the map nor its text is on the driver, whatever the plan is copied for.
+    """
+    pieces = ranks.pieces
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = RankMap(Ranks(pieces).merges, len(pieces))
+                arrays = [_one(pa.array(getattr(found, name).astype(np.int32))) for name in ARRAYS]
+                yield pa.RecordBatch.from_arrays(arrays, names=ARRAYS)
+
+    schema = ", ".join(f"{name} array<int>" for name in ARRAYS)
+    return written(spark.range(0, 1, 1, 1).mapInArrow(made, schema), "bpe-ranks")
+
+
+def beside_arrays(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with ``bpe__ranks``, the arrays of ``rank_arrays``; for few rows, as of blocks."""
+    return rows.withColumn("bpe__ranks", found.select(F.struct(*ARRAYS)).scalar())
+
+
+def of_arrays(body: Callable[[Sequence[Column]], Column]) -> Column:
+    """``body`` of the arrays that are beside a row."""
+    return let(F.col("bpe__ranks"), lambda held: body([held[name] for name in ARRAYS]))
+
+
 def rank_of(arrays: Sequence[Column], left: Column, right: Column) -> Column:
     """The rank of a pair, null where it does not join."""
     offset, owner, value = arrays
@@ -355,7 +389,7 @@ def repeated_words(
     return counts.where(F.lit(False) if chosen is None else F.col("step") >= chosen).select("word")
 
 
-def merged_words(words: DataFrame, ranks: Ranks, found: RankMap) -> Words:
+def merged_words(words: DataFrame, ranks: Ranks, found: DataFrame) -> Words:
     """Fold each of the words once; the result is for all tasks, so bound their number."""
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,9 +398,9 @@ def merged_words(words: DataFrame, ranks: Ranks, found: RankMap) -> Words:
             yield pa.RecordBatch.from_arrays([_one(said), _one(_byte_lists(said, ranks))], names=["words", "starts"])
 
     lists = words.mapInArrow(grouped, "words array<string>, starts array<array<int>>")
-    folded = lists.select(
+    folded = beside_arrays(lists, found).select(
         "words",
-        found.bound(lambda arrays: F.transform("starts", lambda w: folded_merges(w, arrays))).alias("ids"),
+        of_arrays(lambda arrays: F.transform("starts", lambda w: folded_merges(w, arrays))).alias("ids"),
     )
     got = folded.toArrow()
     flat = pa.table({name: pa.chunked_array([c.flatten() for c in got[name].chunks], got[name].type.value_type) for name in got.column_names})
@@ -465,9 +499,9 @@ def encode(
     """
     if into in keep:
         raise ValueError(f"{into} is also a kept column")
-    # The map of pairs is not kept on the driver, nor sent to the tasks; one that meets a
+    # The map of pairs is not made on the driver, nor sent to the tasks; one that meets a
     # very long word makes it again.
-    found = RankMap(Ranks(ranks.pieces).merges, len(ranks.pieces))
+    found = rank_arrays(docs.sparkSession, ranks)
     frequent = repeated_words(docs, text, pattern, block_chars, long_word, most_known)
     known = merged_words(frequent, ranks, found)
 
@@ -486,7 +520,7 @@ def encode(
         )
 
     whole = blocks(docs, text, keep, ranks, pattern, known, block_chars, long_word)
-    return whole.select(F.inline(let(found.bound(of_words), assembled)))
+    return beside_arrays(whole, found).select(F.inline(let(of_arrays(of_words), assembled)))
 
 
 def little_endian(ids: Column, count: int) -> Column:
